@@ -5,9 +5,6 @@ Null text counts as the empty string throughout.
 
 from __future__ import annotations
 
-import re
-from functools import reduce
-
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,23 +60,30 @@ def _needed(pattern: str) -> list[str]:
     return found
 
 
-def _replace(c: Column, pattern: str, replacement: str) -> Column:
-    if re.fullmatch(r"[^|.\\\[\](){}*+?^$]+", pattern):
-        return F.replace(c, F.lit(pattern), F.lit(replacement))
-    replaced = F.regexp_replace(c, F.lit(_by_first_letter(pattern)), F.lit(replacement))
-    occurs = reduce(Column.__or__, [F.contains(c, F.lit(n)) for n in _needed(pattern)])
-    return F.when(occurs, replaced).otherwise(c)
-
-
 def _replace_all(c: Column, rules) -> Column:
     """Apply ``(pattern, replacement)`` rules in order.
 
     Most rules do not fit most texts, and a plain search is far cheaper than a pattern, so a
-    pattern only runs on texts that contain one of the words it needs.
+    pattern only runs on texts that contain one of the words it needs. The rules are one constant
+    array, which keeps the plan small.
     """
-    for pattern, replacement in rules:
-        c = let(c, lambda x: _replace(x, pattern, replacement))
-    return c
+    entries = ", ".join(
+        f"named_struct('needed', array({', '.join(map(_quoted, _needed(p)))}), "
+        f"'pattern', {_quoted(_by_first_letter(p))}, 'to', {_quoted(to)})"
+        for p, to in rules
+    )
+    return F.aggregate(
+        F.expr(f"array({entries})"),
+        c,
+        lambda text, rule: F.when(
+            F.exists(rule["needed"], lambda w: F.contains(text, w)),
+            F.regexp_replace(text, rule["pattern"], rule["to"]),
+        ).otherwise(text),
+    )
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def to_double(c: Column | str) -> Column:
@@ -246,31 +250,24 @@ def common_terms(a: Column | str, b: Column | str) -> Column:
     counted by giving every occurrence a number, so the cost stays near-linear for long texts.
     """
 
-    def count(pair: Column) -> Column:
-        x, y, shared = pair["a"], pair["b"], pair["shared"]
-        one_by_one = F.aggregate(
-            shared,
-            F.lit(0),
-            lambda acc, t: acc
-            + F.least(
-                F.size(x) - F.size(F.array_remove(x, t)), F.size(y) - F.size(F.array_remove(y, t))
-            ),
-        )
-        by_number = F.size(F.array_intersect(_numbered(x), _numbered(y)))
-        return F.when(F.size(shared) <= FEW_SHARED_TERMS, one_by_one).otherwise(by_number)
-
-    x, y = trim_empty_tail(a), trim_empty_tail(b)
-    return let(
-        F.struct(x.alias("a"), y.alias("b")),
-        lambda p: let(
-            F.struct(
-                p["a"].alias("a"),
-                p["b"].alias("b"),
-                F.array_intersect(p["a"], p["b"]).alias("shared"),
-            ),
-            count,
-        ),
-    )
+    def count(lists: Column) -> Column:
+        x, y = lists[0], lists[1]
+
+        def times(words: Column, t: Column) -> Column:
+            return F.size(words) - F.size(F.array_remove(words, t))
+
+        def counted(shared: Column) -> Column:
+            one_by_one = F.aggregate(
+                shared, F.lit(0), lambda n, t: n + F.least(times(x, t), times(y, t))
+            )
+            by_number = let(
+                F.transform(lists, _numbered), lambda n: F.size(F.array_intersect(n[0], n[1]))
+            )
+            return F.when(F.size(shared) <= FEW_SHARED_TERMS, one_by_one).otherwise(by_number)
+
+        return let(F.array_intersect(x, y), counted)
+
+    return let(F.transform(F.array(_col(a), _col(b)), trim_empty_tail), count)
 
 
 def phrase_hits(query: Column | str, title: Column | str, description: Column | str) -> Column:

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from shelfmatch.functions.text import let, term_counts
 from shelfmatch.operators.relational import skew_join
 
+# Parts that the rows of a word are cut into when words are joined with a table of words.
+WORD_PARTS = 16
+
 
 def term_stats(df: DataFrame, tokens: str) -> DataFrame:
     """``term, tf, df`` over a corpus of one row per document.
@@ -55,7 +58,7 @@ def tfidf_long(df: DataFrame, id_: str, tokens: str, fit_on: DataFrame, fit_toke
     )
     known = term_stats(fit_on, fit_tokens).select("term", "df")
     df_or_0 = F.coalesce(F.col("df"), F.lit(0))
-    return skew_join(long, known, ["term"], [id_], how="left").select(
+    return skew_join(long, known, ["term"], [id_], parts=WORD_PARTS, how="left").select(
         id_, "term", "tf", (F.col("tf") * F.log((size + 1.0) / (df_or_0 + 1.0))).alias("weight")
     )
 
@@ -86,7 +89,7 @@ def count_vectors_long(
     long = df.select(id_, F.explode(term_counts(tokens)).alias("e")).select(
         id_, F.col("e.term").alias("term"), F.col("e.n").alias("n")
     )
-    return skew_join(long, vocabulary, ["term"], [id_]).select(id_, "term", "n")
+    return skew_join(long, vocabulary, ["term"], [id_], parts=WORD_PARTS).select(id_, "term", "n")
 
 
 def fit_word2vec(
@@ -130,6 +133,7 @@ def embed_with_table(
         vectors.select("word", F.col("vector").cast("array<double>").alias("v")),
         ["word"],
         [id_],
+        parts=WORD_PARTS,
     )
     sums = known.groupBy(id_).agg(
         *[F.sum(F.get("v", F.lit(i)) * F.col("times") / F.col("_n")).alias(f"v{i}") for i in range(dim)]

@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_PARTS of the rows, so there are fewer than HOT_PARTS
-# hot keys whatever the size of the table. That bounds what hot_keys lets Spark broadcast.
-HOT_PARTS = 1024
+# At most HOT_KEYS keys are treated as hot, whatever the size of the table; that bounds what
+# skew_join lets Spark broadcast. A key beyond them holds less than 1/HOT_KEYS of the rows.
+HOT_KEYS = 1024
+HOT_ROWS = 1_000_000  # rows of a key that one task takes without being cut
 TEXT_FIELDS = ["product_title", "search_term", "product_description", "value"]
 
 
-def hot_keys(df: DataFrame, on: list[str]) -> DataFrame:
-    """Keys holding more than 1/HOT_PARTS of the rows, with the number of parts to cut them into."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_rows"))
-    part = F.greatest(counts.agg(F.sum("_rows")).scalar() / HOT_PARTS, F.lit(1000.0))
-    return counts.where(F.col("_rows") > part).select(
-        *on, F.ceil(F.col("_rows") / part).cast("int").alias("_parts")
-    )
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The largest keys of more than ``hot_rows`` rows, with the number of parts to cut them into."""
+    counts = df.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+    largest = counts.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
+    parts = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(HOT_KEYS)).cast("int")
+    return largest.select(*on, parts.alias("_parts"))
 
 
 def skew_join(
@@ -26,22 +26,27 @@ def skew_join(
     on: list[str],
     spread: list[str],
     hot: DataFrame | None = None,
+    parts: int | None = None,
     how: str = "inner",
 ) -> DataFrame:
     """Inner or left equi-join in which the hot keys of ``left`` are spread over many tasks.
 
     Rows of a hot key are dealt out by the hash of their ``spread`` columns, and the matching rows
     of ``right`` are repeated for every part. All other keys join as usual. No row is dropped.
+    Finding the hot keys reads ``left`` once more; where that is dear and ``right`` is the smaller
+    side, ``parts`` cuts every key into that many parts without looking.
     """
-    hot = F.broadcast(hot_keys(left, on) if hot is None else hot)
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
-    dealt = left.join(hot, on, "left").withColumn(
-        "_part", F.pmod(F.xxhash64(*spread), parts.cast("long")).cast("int")
-    )
-    repeated = right.join(hot, on, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
-    return dealt.drop("_parts").join(repeated.drop("_parts"), [*on, "_part"], how).drop("_part")
+    if parts is not None:
+        cut = F.lit(parts)
+        dealt, repeated = left, right
+    else:
+        hot = F.broadcast(hot_keys(left, on) if hot is None else hot)
+        cut = F.coalesce(F.col("_parts"), F.lit(1))
+        dealt, repeated = left.join(hot, on, "left"), right.join(hot, on, "left")
+    part = F.pmod(F.xxhash64(*spread), cut.cast("long")).cast("int")
+    dealt = dealt.withColumn("_part", part).drop("_parts")
+    repeated = repeated.withColumn("_part", F.explode(F.sequence(F.lit(0), cut - 1))).drop("_parts")
+    return dealt.join(repeated, [*on, "_part"], how).drop("_part")
 
 
 def pick_attribute(attributes: DataFrame, name: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Results have ``id_a, id_b, distance`` with ``distance < threshold``. Equal values on a side are
 compared once: the joins work on distinct values and only the last step puts ids back. Candidates
-come from equi-joins whose hot keys are spread over tasks; none is capped or dropped.
+come from equi-joins whose hot keys are spread over tasks; none is capped or dropped. The joins
+after that are plain ones on a digest, which adaptive execution splits where a key is large.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql import functions as F
 
 from shelfmatch.functions.hashing import minhash_signature, projection_buckets, unit_directions
 from shelfmatch.functions.vectors import dot, euclidean, jaccard_distance
-from shelfmatch.operators.relational import HOT_PARTS, skew_join
+from shelfmatch.operators.relational import skew_join
+
+FREQUENT_WORDS = 1024
 
 
 def _keyed(side: DataFrame, id_: str, value: Column, text: Column) -> DataFrame:
@@ -46,17 +49,13 @@ def _verify(
     candidates: DataFrame, a: DataFrame, b: DataFrame, distance, threshold: float
 ) -> DataFrame:
     """Distances of the candidate key pairs, each pair once."""
-    once = candidates.select("key_a", "key_b").distinct()
-    with_a = skew_join(
-        once, a.select(F.col("key").alias("key_a"), F.col("value").alias("value_a")),
-        ["key_a"], ["key_b"],
-    )
-    with_b = skew_join(
-        with_a, b.select(F.col("key").alias("key_b"), F.col("value").alias("value_b")),
-        ["key_b"], ["key_a"],
-    )
+    values_a = a.select(F.col("key").alias("key_a"), F.col("value").alias("value_a"))
+    values_b = b.select(F.col("key").alias("key_b"), F.col("value").alias("value_b"))
     return (
-        with_b.select("key_a", "key_b", distance("value_a", "value_b").alias("distance"))
+        candidates.select("key_a", "key_b").distinct()
+        .join(values_a, "key_a")
+        .join(values_b, "key_b")
+        .select("key_a", "key_b", distance("value_a", "value_b").alias("distance"))
         .where(F.col("distance") < threshold)
     )
 
@@ -64,8 +63,7 @@ def _verify(
 def _put_ids_back(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     ids_a = a.select(F.col("key").alias("key_a"), F.col("id").alias("id_a"))
     ids_b = b.select(F.col("key").alias("key_b"), F.col("id").alias("id_b"))
-    with_a = skew_join(ids_a, pairs, ["key_a"], ["id_a"])
-    return skew_join(with_a, ids_b, ["key_b"], ["id_a"]).select("id_a", "id_b", "distance")
+    return pairs.join(ids_a, "key_a").join(ids_b, "key_b").select("id_a", "id_b", "distance")
 
 
 def _own_pairs(
@@ -143,14 +141,14 @@ def jaccard_join_exact(
     keyed_a, keyed_b = _token_side(a, id_, tokens), _token_side(b, id_, tokens)
     sets_a, sets_b = _distinct(keyed_a), _distinct(keyed_b)
 
-    # words holding more than 1/HOT_PARTS of all occurrences: fewer than HOT_PARTS of them
+    # the most frequent words, a bounded list; any order would be right, this one is fast
     words = (
         sets_a.select("value").unionAll(sets_b.select("value"))
         .select(F.explode("value").alias("word"))
         .groupBy("word").agg(F.count("*").alias("n"))
     )
-    share = words.agg(F.sum("n")).scalar() / HOT_PARTS
-    frequent = words.where(F.col("n") > share).agg(F.sort_array(F.collect_list("word"))).scalar()
+    most = words.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS)
+    frequent = most.agg(F.sort_array(F.collect_list("word"))).scalar()
 
     def prefixes(sets: DataFrame, side: str) -> DataFrame:
         size = F.size("value")

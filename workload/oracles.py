@@ -370,7 +370,7 @@ feat AS (
 
 
 FEATURE_ROWS = "fr AS (" + " UNION ALL ".join(
-    f'SELECT pair_id, relevance, {i} AS at, \'{n}\' AS feature, "{n}" AS x FROM feat'
+    f'SELECT pair_id, relevance, {i} AS pos, \'{n}\' AS feature, "{n}" AS x FROM feat'
     for i, n in enumerate(FEATURE_NAMES)
 ) + ")"
 
@@ -410,9 +410,9 @@ def dot_rows(source: str, col: str, n: int, length: float) -> str:
 
 
 CENTRES = f"""eb AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v, label FROM embeddings),
-means AS (SELECT label, at, round(avg(x), 6) AS m FROM
-  (SELECT label, unnest(v) AS x, unnest(range({DIM})) AS at FROM eb) GROUP BY label, at),
-centres AS (SELECT label::BIGINT AS id, list(m ORDER BY at) AS v FROM means GROUP BY label),
+means AS (SELECT label, pos, round(avg(x), 6) AS m FROM
+  (SELECT label, unnest(v) AS x, unnest(range({DIM})) AS pos FROM eb) GROUP BY label, pos),
+centres AS (SELECT label::BIGINT AS id, list(m ORDER BY pos) AS v FROM means GROUP BY label),
 dist AS (
   SELECT a.id AS id_a, b.id AS id_b,
          sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS euclidean,
@@ -451,18 +451,18 @@ def naive_bayes_sql() -> str:
             *features(),
             FEATURE_ROWS,
             f"""scaled AS (
-  SELECT pair_id, CASE WHEN relevance >= 1.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, at,
+  SELECT pair_id, CASE WHEN relevance >= 1.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, pos,
          CASE WHEN max(abs(x)) OVER (PARTITION BY pair_id) = 0 THEN x
               ELSE x / max(abs(x)) OVER (PARTITION BY pair_id) END AS x,
          {share('pair_id')} < 0.6 AS training FROM fr),
 rows_c AS (SELECT label, count(DISTINCT pair_id) AS n FROM scaled WHERE training GROUP BY label),
 priors AS (SELECT label, ln(n + 1.0::DOUBLE) - ln((SELECT sum(n) FROM rows_c) + (SELECT count(*) FROM rows_c)) AS p
   FROM rows_c),
-sums AS (SELECT label, at, sum(x) AS s FROM scaled WHERE training GROUP BY label, at),
-theta AS (SELECT label, at, ln(s + 1) - ln(sum(s) OVER (PARTITION BY label) + {len(FEATURE_NAMES)}) AS t FROM sums),
+sums AS (SELECT label, pos, sum(x) AS s FROM scaled WHERE training GROUP BY label, pos),
+theta AS (SELECT label, pos, ln(s + 1) - ln(sum(s) OVER (PARTITION BY label) + {len(FEATURE_NAMES)}) AS t FROM sums),
 scores AS (
   SELECT c.pair_id, c.label, t.label AS prediction, any_value(p.p) + sum(c.x * t.t) AS score
-  FROM scaled c JOIN theta t ON t.at = c.at JOIN priors p ON p.label = t.label
+  FROM scaled c JOIN theta t ON t.pos = c.pos JOIN priors p ON p.label = t.label
   WHERE NOT c.training GROUP BY c.pair_id, c.label, t.label)""",
         ],
         "SELECT pair_id, any_value(label) AS label, arg_max(prediction, score) AS prediction "
@@ -491,17 +491,21 @@ fit AS (SELECT i, max(m) AS prediction FROM low GROUP BY i)""",
 
 
 def embedded(source: str, id_: str, col: str, name: str) -> str:
-    """Mean word vectors as rows: id, at, x."""
-    return f"""{name} AS (
-  SELECT i.{id_}, at, sum(x * times / n) AS x FROM
-    (SELECT {id_}, len({col}) AS n FROM {source}) i
-    JOIN (SELECT {id_}, term, count(*) AS times FROM (SELECT {id_}, unnest({col}) AS term FROM {source}) GROUP BY ALL) t USING ({id_})
-    JOIN cells ON cells.vec_id = ('0x' || substr(md5(term), 1, 7))::BIGINT % (SELECT count(*) FROM embeddings)
-  GROUP BY i.{id_}, at)"""
+    """Mean word vectors as rows: id, pos, x."""
+    return f"""{name}_t AS MATERIALIZED (
+  SELECT {id_}, ('0x' || substr(md5(term), 1, 7))::BIGINT % n_vectors AS vec_id, sum(times) AS times
+  FROM (SELECT {id_}, term, count(*) AS times FROM
+    (SELECT {id_}, unnest({col}) AS term FROM {source}) GROUP BY {id_}, term),
+    (SELECT count(*) AS n_vectors FROM embeddings)
+  GROUP BY ALL),
+{name}_n AS MATERIALIZED (SELECT {id_}, len({col}) AS n FROM {source}),
+{name} AS (SELECT t.{id_}, c.pos, sum(c.x * t.times / n.n) AS x
+  FROM {name}_t t JOIN {name}_n n ON n.{id_} = t.{id_} JOIN cells c ON c.vec_id = t.vec_id
+  GROUP BY t.{id_}, c.pos)"""
 
 
-EMBEDDING_CELLS = f"""cells AS (
-  SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range({DIM})) AS at FROM embeddings)"""
+EMBEDDING_CELLS = f"""cells AS MATERIALIZED (
+  SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x, unnest(range({DIM})) AS pos FROM embeddings)"""
 
 
 def cosine_sql() -> str:
@@ -513,7 +517,7 @@ def cosine_sql() -> str:
             embedded("w", "pair_id", "query", "eq"),
             """cs AS (
   SELECT pair_id, sum(et.x * eq.x) / nullif(sqrt(sum(et.x * et.x)) * sqrt(sum(eq.x * eq.x)), 0) AS c
-  FROM et JOIN eq USING (pair_id, at) GROUP BY pair_id),
+  FROM et JOIN eq USING (pair_id, pos) GROUP BY pair_id),
 judged AS (SELECT CASE WHEN c >= 0.6 THEN 1 ELSE 0 END AS prediction,
     CASE WHEN relevance >= 2.0 THEN 1 ELSE 0 END AS relevance
   FROM cs JOIN w USING (pair_id) WHERE c IS NOT NULL)""",
@@ -637,9 +641,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stem_porter": with_(
             [*doc,
-             "t AS (SELECT doc_id, unnest(words) AS term, generate_subscripts(words, 1) AS at FROM dw)",
+             "t AS (SELECT doc_id, unnest(words) AS term, generate_subscripts(words, 1) AS pos FROM dw)",
              *porter_blocks("t", "porter")],
-            "SELECT dw.doc_id, coalesce(string_agg(stem, '|' ORDER BY at), '') AS stems "
+            "SELECT dw.doc_id, coalesce(string_agg(stem, '|' ORDER BY pos), '') AS stems "
             "FROM dw LEFT JOIN t ON t.doc_id = dw.doc_id LEFT JOIN porter USING (term) GROUP BY dw.doc_id",
         ),
         "token_len": "SELECT doc_id, len(string_split(text, ' ')) AS n_parts FROM documents",
@@ -706,8 +710,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "embed_with_table": with_(
             [*doc, EMBEDDING_CELLS, embedded("dw", "doc_id", "words", "em"),
-             f"grid AS (SELECT doc_id, unnest(range({DIM})) AS at FROM dw)"],
-            "SELECT doc_id, at, round(coalesce(x, 0), 6) AS x FROM grid LEFT JOIN em USING (doc_id, at)",
+             f"grid AS (SELECT doc_id, unnest(range({DIM})) AS pos FROM dw)"],
+            "SELECT doc_id, pos, round(coalesce(x, 0), 6) AS x FROM grid LEFT JOIN em USING (doc_id, pos)",
         ),
         "minhash": with_(
             [*doc, "sa AS (SELECT doc_id AS id, unnest(list_distinct(words)) AS term FROM dw)",
@@ -719,16 +723,16 @@ def oracle_sql() -> dict[str, str]:
         f"b AS ({dot_rows('eb', 'v', 3, 0.25)}) "
         "SELECT id AS vec_id, string_agg(CAST(bucket AS VARCHAR), '|' ORDER BY band) AS buckets FROM b GROUP BY id",
         "assemble": with_(
-            [*feat, FEATURE_ROWS], "SELECT pair_id, CAST(at AS BIGINT) AS at, round(x, 6) AS x FROM fr"
+            [*feat, FEATURE_ROWS], "SELECT pair_id, CAST(pos AS BIGINT) AS pos, round(x, 6) AS x FROM fr"
         ),
         "normalize": with_(
             [*feat, FEATURE_ROWS],
-            "SELECT pair_id, CAST(at AS BIGINT) AS at, "
+            "SELECT pair_id, CAST(pos AS BIGINT) AS pos, "
             "round(x / max(abs(x)) OVER (PARTITION BY pair_id), 6) AS x FROM fr",
         ),
         "normalize_l1": with_(
             [*feat, FEATURE_ROWS],
-            "SELECT pair_id, CAST(at AS BIGINT) AS at, "
+            "SELECT pair_id, CAST(pos AS BIGINT) AS pos, "
             "round(x / sum(abs(x)) OVER (PARTITION BY pair_id), 6) AS x FROM fr",
         ),
         "chi2_scores": with_(
@@ -743,15 +747,15 @@ def oracle_sql() -> dict[str, str]:
             "CAST((count(DISTINCT grid.x) - 1) * (count(DISTINCT grid.c) - 1) AS BIGINT) AS dof "
             "FROM grid LEFT JOIN o USING (feature, x, c) GROUP BY feature",
         ),
-        "label_index": "WITH r AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS at "
-        "FROM part GROUP BY p_brand) SELECT p_partkey, p_brand, CAST(at AS DOUBLE) AS at, p_brand AS name "
+        "label_index": "WITH r AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS n "
+        "FROM part GROUP BY p_brand) SELECT p_partkey, p_brand, CAST(n AS DOUBLE) AS number, p_brand AS name "
         "FROM part JOIN r USING (p_brand)",
         "feature_index": "WITH f AS (SELECT DISTINCT ascii(l_returnflag) AS v FROM lineitem), "
-        "fi AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS at FROM f), "
+        "fi AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS pos FROM f), "
         "s AS (SELECT DISTINCT ascii(l_linestatus) AS v FROM lineitem), "
-        "si AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS at FROM s) "
-        "SELECT l_orderkey, l_partkey, l_quantity AS quantity, CAST(fi.at AS DOUBLE) AS flag, "
-        "CAST(si.at AS DOUBLE) AS status, l_quantity AS kept FROM lineitem "
+        "si AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS pos FROM s) "
+        "SELECT l_orderkey, l_partkey, l_quantity AS quantity, CAST(fi.pos AS DOUBLE) AS flag, "
+        "CAST(si.pos AS DOUBLE) AS status, l_quantity AS kept FROM lineitem "
         "JOIN fi ON fi.v = ascii(l_returnflag) JOIN si ON si.v = ascii(l_linestatus)",
         "naive_bayes": naive_bayes_sql(),
         "isotonic": isotonic_sql(),

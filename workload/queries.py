@@ -523,7 +523,7 @@ def tfidf_hashed(spark, d):
     plain = F.unwrap_udt(F.col("tfidf"))
     weighted = fe.fit_idf(counted).transform(counted)
     return weighted.select("doc_id", F.explode(F.arrays_zip(plain["indices"], plain["values"]))).select(
-        "doc_id", F.col("col.0").alias("bucket"), r6("col.1", "weight")
+        "doc_id", F.col("col.indices").alias("bucket"), r6("col.values", "weight")
     )
 
 
@@ -565,7 +565,7 @@ def embed_tokens(spark, d):
     words = pair_words(spark, d, "porter")
     model = fe.fit_word2vec(words, "title")
     embedded = fe.embed_tokens(words, "query", model, "vector")
-    return embedded.select("pair_id", F.posexplode(vector_to_array("vector")).alias("at", "x"))
+    return embedded.select("pair_id", F.posexplode(vector_to_array("vector")).alias("pos", "x"))
 
 
 def word_vectors(spark, d, words: DataFrame) -> DataFrame:
@@ -584,8 +584,8 @@ def word_vectors(spark, d, words: DataFrame) -> DataFrame:
 def embed_with_table(spark, d):
     words = doc_words(spark, d)
     embedded = fe.embed_with_table(words, "doc_id", "words", word_vectors(spark, d, words), wt.DIM)
-    return embedded.select("doc_id", F.posexplode("vector").alias("at", "x")).select(
-        "doc_id", big("at", "at"), r6("x", "x")
+    return embedded.select("doc_id", F.posexplode("vector").alias("pos", "x")).select(
+        "doc_id", big("pos", "pos"), r6("x", "x")
     )
 
 
@@ -607,24 +607,24 @@ def projection(spark, d):
 @query
 def assemble(spark, d):
     f = fe.assemble(overlap_features(wt.pairs(spark, d)), OVERLAP_FEATURES)
-    return f.select("pair_id", F.posexplode(vector_to_array("features")).alias("at", "x")).select(
-        "pair_id", big("at", "at"), r6("x", "x")
+    return f.select("pair_id", F.posexplode(vector_to_array("features")).alias("pos", "x")).select(
+        "pair_id", big("pos", "pos"), r6("x", "x")
     )
 
 
 @query
 def normalize(spark, d):
     f = fe.normalize(fe.assemble(overlap_features(wt.pairs(spark, d)), OVERLAP_FEATURES))
-    return f.select("pair_id", F.posexplode(vector_to_array("norm_features")).alias("at", "x")).select(
-        "pair_id", big("at", "at"), r6("x", "x")
+    return f.select("pair_id", F.posexplode(vector_to_array("norm_features")).alias("pos", "x")).select(
+        "pair_id", big("pos", "pos"), r6("x", "x")
     )
 
 
 @query
 def normalize_l1(spark, d):
     f = fe.normalize(fe.assemble(overlap_features(wt.pairs(spark, d)), OVERLAP_FEATURES), 1.0)
-    return f.select("pair_id", F.posexplode(vector_to_array("norm_features")).alias("at", "x")).select(
-        "pair_id", big("at", "at"), r6("x", "x")
+    return f.select("pair_id", F.posexplode(vector_to_array("norm_features")).alias("pos", "x")).select(
+        "pair_id", big("pos", "pos"), r6("x", "x")
     )
 
 
@@ -632,7 +632,7 @@ def normalize_l1(spark, d):
 def pca(spark, d):
     train_df, test_df = pca_frames(*classification_frames(wt.pairs(spark, d)))
     both = train_df.unionAll(test_df)
-    return both.select("pair_id", F.posexplode(vector_to_array("features")).alias("at", "x"))
+    return both.select("pair_id", F.posexplode(vector_to_array("features")).alias("pos", "x"))
 
 
 @query
@@ -645,28 +645,28 @@ def chi2_scores(spark, d):
 
 @query
 def select_features(spark, d):
-    f = fe.assemble(overlap_features(wt.pairs(spark, d)), OVERLAP_FEATURES)
+    f = _scalar_frame(spark, d)
     selected = fe.select_features(f, 5, "relevance").transform(f)
     return selected.select(
-        "pair_id", F.posexplode(vector_to_array("selected_features")).alias("at", "x")
+        "pair_id", F.posexplode(vector_to_array("selected_features")).alias("pos", "x")
     )
 
 
 @query
 def select_features_f(spark, d):
-    f = fe.assemble(overlap_features(wt.pairs(spark, d)), OVERLAP_FEATURES)
+    f = _scalar_frame(spark, d)
     selected = fe.select_features(f, 5, "relevance", method="f").transform(f)
     return selected.select(
-        "pair_id", F.posexplode(vector_to_array("selected_features")).alias("at", "x")
+        "pair_id", F.posexplode(vector_to_array("selected_features")).alias("pos", "x")
     )
 
 
 @query
 def label_index(spark, d):
     parts = so.read_table(spark, d, "part").select("p_partkey", "p_brand")
-    model = mo.label_indexer(parts, "p_brand", "at")
-    indexed = mo.label_names(model, "at", "name").transform(model.transform(parts))
-    return indexed.select("p_partkey", "p_brand", "at", "name")
+    model = mo.label_indexer(parts, "p_brand", "number")
+    indexed = mo.label_names(model, "number", "name").transform(model.transform(parts))
+    return indexed.select("p_partkey", "p_brand", "number", "name")
 
 
 @query
@@ -721,10 +721,13 @@ def rf_class(spark, d):
     )
 
 
-def _scalar_frames(spark, d):
+def _scalar_frame(spark, d):
     f = fe.assemble(overlap_features(wt.pairs(spark, d)), OVERLAP_FEATURES)
-    kept = mo.ready_to_train(f.select("pair_id", "relevance", "features"), "pair_id")
-    return re_.split_by_key(kept, "pair_id")
+    return mo.ready_to_train(f.select("pair_id", "relevance", "features"), "pair_id")
+
+
+def _scalar_frames(spark, d):
+    return re_.split_by_key(_scalar_frame(spark, d), "pair_id")
 
 
 def _regressed(spark, d, kind, **params):
