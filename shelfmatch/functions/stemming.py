@@ -126,12 +126,17 @@ def _stem_lists(lists: pa.Array, known: dict[str, str]) -> pa.Array:
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
-def _porter_lists(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _stem_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     known: dict[str, str] = {}
     for lists in batches:
         yield _stem_lists(lists, known)
 
 
+# Declared non-deterministic only so that filters on stems are not moved below the stemming: there
+# they would stem every row a second time, or end up in a join condition, which cannot run Python.
+_porter_lists = _stem_batches.asNondeterministic()
+
+
 def _plural(t: Column) -> Column:
     """Harman's (1991) S-stemmer: the first fitting rule decides."""
     return (

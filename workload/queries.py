@@ -562,7 +562,7 @@ def word2vec(spark, d):
 
 @query
 def embed_tokens(spark, d):
-    words = pair_words(spark, d, "porter")
+    words = so.cut_lineage(pair_words(spark, d, "porter"))
     model = fe.fit_word2vec(words, "title")
     embedded = fe.embed_tokens(words, "query", model, "vector")
     return embedded.select("pair_id", F.posexplode(vector_to_array("vector")).alias("pos", "x"))
