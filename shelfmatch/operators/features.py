@@ -27,13 +27,23 @@ from shelfmatch.operators.relational import skew_join
 WORD_PARTS = 16
 
 
+def _term_rows(df: DataFrame, ids: list[str], tokens: str) -> DataFrame:
+    """Ids and ``e`` with ``e.term, e.n`` for every distinct word of a row.
+
+    The outer form keeps Spark from adding a filter on the list, which would count the words twice.
+    """
+    return df.select(*ids, F.explode_outer(term_counts(tokens)).alias("e")).where(
+        F.col("e").isNotNull()
+    )
+
+
 def term_stats(df: DataFrame, tokens: str) -> DataFrame:
     """``term, tf, df`` over a corpus of one row per document.
 
     Terms are counted inside each row first, so one shuffle of partial sums by term is all.
     """
     return (
-        df.select(F.explode(term_counts(tokens)).alias("e"))
+        _term_rows(df, [], tokens)
         .groupBy(F.col("e.term").alias("term"))
         .agg(F.sum("e.n").alias("tf"), F.count("*").alias("df"))
     )
@@ -53,7 +63,7 @@ def tfidf_long(df: DataFrame, id_: str, tokens: str, fit_on: DataFrame, fit_toke
     ``fit_on`` holds the corpus the document frequencies come from; a term it lacks has df 0.
     """
     size = fit_on.agg(F.count("*")).scalar()
-    long = df.select(id_, F.explode(term_counts(tokens)).alias("e")).select(
+    long = _term_rows(df, [id_], tokens).select(
         id_, F.col("e.term").alias("term"), F.col("e.n").alias("tf")
     )
     known = term_stats(fit_on, fit_tokens).select("term", "df")
@@ -86,7 +96,7 @@ def count_vectors_long(
 ) -> DataFrame:
     """``id, term, n`` rows over the terms found in ``min_df`` documents of ``fit_on`` or more."""
     vocabulary = term_stats(fit_on, fit_tokens).where(F.col("df") >= min_df).select("term")
-    long = df.select(id_, F.explode(term_counts(tokens)).alias("e")).select(
+    long = _term_rows(df, [id_], tokens).select(
         id_, F.col("e.term").alias("term"), F.col("e.n").alias("n")
     )
     return skew_join(long, vocabulary, ["term"], [id_], parts=WORD_PARTS).select(id_, "term", "n")
@@ -124,6 +134,7 @@ def embed_with_table(
     """``embed_tokens`` with the word vectors in a table ``word, vector`` of any size.
 
     A row's repeated words are joined once. Rows without any known word get the zero vector.
+    ``df`` is read three times; cut its lineage first if its words are dear to compute.
     """
     words = df.select(
         id_, F.size(tokens).alias("_n"), F.explode_outer(term_counts(tokens)).alias("e")
@@ -133,7 +144,6 @@ def embed_with_table(
         vectors.select("word", F.col("vector").cast("array<double>").alias("v")),
         ["word"],
         [id_],
-        parts=WORD_PARTS,
     )
     sums = known.groupBy(id_).agg(
         *[F.sum(F.get("v", F.lit(i)) * F.col("times") / F.col("_n")).alias(f"v{i}") for i in range(dim)]

@@ -4,6 +4,10 @@ Results have ``id_a, id_b, distance`` with ``distance < threshold``. Equal value
 compared once: the joins work on distinct values and only the last step puts ids back. Candidates
 come from equi-joins whose hot keys are spread over tasks; none is capped or dropped. The joins
 after that are plain ones on a digest, which adaptive execution splits where a key is large.
+
+Each side is read several times. Cut the lineage of a side whose values are dear to compute before
+joining it. Lists are exploded in the outer form and empty ones drop in the join: the filter Spark
+adds to the inner form would compute the list twice.
 """
 
 from __future__ import annotations
@@ -26,13 +30,8 @@ def _keyed(side: DataFrame, id_: str, value: Column, text: Column) -> DataFrame:
 
 
 def _token_side(side: DataFrame, id_: str, tokens: str) -> DataFrame:
-    keyed = _keyed(
-        side,
-        id_,
-        F.sort_array(F.array_distinct(F.col(tokens).cast("array<string>"))),
-        F.array_join("value", "\u0001"),
-    )
-    return keyed.where(F.size("value") > 0)
+    terms = F.sort_array(F.array_distinct(F.col(tokens).cast("array<string>")))
+    return _keyed(side, id_, terms, F.array_join("value", "\u0001"))
 
 
 def _vector_side(side: DataFrame, id_: str, vec: str) -> DataFrame:
@@ -81,8 +80,8 @@ def _own_pairs(
 
 def _join_on_hashes(a: DataFrame, b: DataFrame, hashes: Column) -> DataFrame:
     """Key pairs that share a hash in the same place of the ``hashes`` array."""
-    left = a.select(F.col("key").alias("key_a"), F.posexplode(hashes).alias("band", "hash"))
-    right = b.select(F.col("key").alias("key_b"), F.posexplode(hashes).alias("band", "hash"))
+    left = a.select(F.col("key").alias("key_a"), F.posexplode_outer(hashes).alias("band", "hash"))
+    right = b.select(F.col("key").alias("key_b"), F.posexplode_outer(hashes).alias("band", "hash"))
     return skew_join(left, right, ["band", "hash"], ["key_a"])
 
 
@@ -160,7 +159,7 @@ def jaccard_join_exact(
         return sets.withColumn("frequent", frequent).select(
             F.col("key").alias(f"key_{side}"),
             size.alias(f"size_{side}"),
-            F.explode(F.slice(ordered, F.lit(1), length)).alias("word"),
+            F.explode_outer(F.slice(ordered, F.lit(1), length)).alias("word"),
         )
 
     joined = skew_join(prefixes(sets_a, "a"), prefixes(sets_b, "b"), ["word"], ["key_a"])

@@ -54,6 +54,16 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a table of fewer splits than cores out over them; a larger table stays as it is.
+
+    For work that is dear per row on tables that are small as files, such as one row group of
+    long texts.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(4 * cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialize(df: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """Write to parquet and go on from what was written."""
     df.write.mode(mode).parquet(path)

@@ -61,13 +61,18 @@ def scratch(spark: SparkSession) -> str:
 
 
 def docs(spark, d) -> DataFrame:
-    return so.read_table(spark, d, "documents").select("doc_id", "text")
+    return wt.documents(spark, d).select("doc_id", "text")
 
 
 def doc_words(spark, d) -> DataFrame:
     return docs(spark, d).select("doc_id", tx.remove_stopwords(tx.tokenize("text")).alias("words"))
 
 
+def kept_doc_words(spark, d) -> DataFrame:
+    """For operators that read the words more than once."""
+    return so.cut_lineage(doc_words(spark, d))
+
+
 def passage_words(spark, d) -> DataFrame:
     return so.read_table(spark, d, "benchmark").select(
         F.col("item_id").alias("doc_id"), tx.remove_stopwords(tx.tokenize("text")).alias("words")
@@ -117,7 +122,7 @@ def parquet_round_trip(spark, d):
 
 @query
 def model_round_trip(spark, d):
-    words = doc_words(spark, d)
+    words = kept_doc_words(spark, d)
     path = scratch(spark)
     so.save_model(fe.fit_count_vectors(words, "words"), path)
     counted = fe.count_vectors(words, "words", so.load_model(CountVectorizerModel, path))
@@ -171,7 +176,7 @@ def drop_invalid(spark, d):
 
 @query
 def non_empty_vectors(spark, d):
-    words = doc_words(spark, d)
+    words = kept_doc_words(spark, d)
     model = fe.fit_count_vectors(words, "words", min_df=5)
     passages = fe.count_vectors(passage_words(spark, d).unionAll(words), "words", model)
     return re_.non_empty_vectors(passages, "features").select(
@@ -216,7 +221,7 @@ def rated_pairs(spark, d):
 
 @query
 def jaccard_own_pairs(spark, d):
-    w = pair_words(spark, d)
+    w = so.cut_lineage(pair_words(spark, d))
     titles, queries = (w.select("pair_id", F.col(f).alias("words")) for f in ("title", "query"))
     return sj.jaccard_join(titles, queries, "pair_id", "words", 0.99, paired_only=True).select(
         "id_a", "id_b", r6("distance", "distance")
@@ -226,14 +231,14 @@ def jaccard_own_pairs(spark, d):
 @query
 def jaccard_join(spark, d):
     return sj.jaccard_join(
-        doc_words(spark, d), passage_words(spark, d), "doc_id", "words", 0.95
+        kept_doc_words(spark, d), passage_words(spark, d), "doc_id", "words", 0.95
     ).select("id_a", "id_b", r6("distance", "distance"))
 
 
 @query
 def jaccard_join_exact(spark, d):
     return sj.jaccard_join_exact(
-        doc_words(spark, d), passage_words(spark, d), "doc_id", "words", 0.95
+        kept_doc_words(spark, d), passage_words(spark, d), "doc_id", "words", 0.95
     ).select("id_a", "id_b", r6("distance", "distance"))
 
 
@@ -331,7 +336,7 @@ def strip_punct(spark, d):
 
 @query
 def strip_html(spark, d):
-    pages = so.read_table(spark, d, "pages")
+    pages = wt.pages(spark, d)
     return pages.select("page_id", tx.strip_html_remnants("html").alias("text"))
 
 
@@ -352,7 +357,7 @@ def clean_text(spark, d):
 
 @query
 def clean_html(spark, d):
-    pages = so.read_table(spark, d, "pages").select("page_id", F.lower("html").alias("text"))
+    pages = wt.pages(spark, d).select("page_id", F.lower("html").alias("text"))
     return pages.select(
         "page_id",
         tx.clean("text", "bare").alias("text"),
@@ -420,7 +425,7 @@ def common_terms(spark, d):
 
 @query
 def phrase_hits(spark, d):
-    documents = so.read_table(spark, d, "documents").select(
+    documents = wt.documents(spark, d).select(
         F.col("doc_id").alias("product_uid"), "lang", F.lower("text").alias("title")
     )
     described = documents.join(wt.descriptions(spark, d), "product_uid")
@@ -519,7 +524,7 @@ def hashed_tf(spark, d):
 
 @query
 def tfidf_hashed(spark, d):
-    counted = fe.hashed_tf(doc_words(spark, d), "words", "tf", 10000)
+    counted = fe.hashed_tf(kept_doc_words(spark, d), "words", "tf", 10000)
     plain = F.unwrap_udt(F.col("tfidf"))
     weighted = fe.fit_idf(counted).transform(counted)
     return weighted.select("doc_id", F.explode(F.arrays_zip(plain["indices"], plain["values"]))).select(
@@ -529,7 +534,7 @@ def tfidf_hashed(spark, d):
 
 @query
 def tfidf_long(spark, d):
-    w = pair_words(spark, d)
+    w = so.cut_lineage(pair_words(spark, d))
     return fe.tfidf_long(w, "pair_id", "desc", w, "title").select(
         "pair_id", "term", "tf", r6("weight", "weight")
     )
@@ -537,13 +542,13 @@ def tfidf_long(spark, d):
 
 @query
 def count_vectors_long(spark, d):
-    w = pair_words(spark, d)
+    w = so.cut_lineage(pair_words(spark, d))
     return fe.count_vectors_long(w, "pair_id", "query", w, "title", 5)
 
 
 @query
 def count_vectors(spark, d):
-    w = pair_words(spark, d)
+    w = so.cut_lineage(pair_words(spark, d))
     model = fe.fit_count_vectors(w, "title", min_df=5)
     plain = F.unwrap_udt(F.col("features"))
     return fe.count_vectors(w, "title", model).select(
@@ -582,7 +587,7 @@ def word_vectors(spark, d, words: DataFrame) -> DataFrame:
 
 @query
 def embed_with_table(spark, d):
-    words = doc_words(spark, d)
+    words = kept_doc_words(spark, d)
     embedded = fe.embed_with_table(words, "doc_id", "words", word_vectors(spark, d, words), wt.DIM)
     return embedded.select("doc_id", F.posexplode("vector").alias("pos", "x")).select(
         "doc_id", big("pos", "pos"), r6("x", "x")
@@ -637,7 +642,7 @@ def pca(spark, d):
 
 @query
 def chi2_scores(spark, d):
-    f = overlap_features(wt.pairs(spark, d))
+    f = so.cut_lineage(overlap_features(wt.pairs(spark, d)))
     return fe.chi2_scores(f, OVERLAP_FEATURES, "relevance").select(
         "feature", r6("statistic", "statistic"), "dof"
     )

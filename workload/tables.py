@@ -6,20 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.operators.relational import consolidate, pick_attribute
-from shelfmatch.sources.tables import read_table
+from shelfmatch.sources.tables import read_table, spread
 
 DIM = 64  # length of the given embeddings
 
 
+def documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(read_table(spark, d, "documents"), "doc_id")
+
+
+def pages(spark: SparkSession, d: str) -> DataFrame:
+    return spread(read_table(spark, d, "pages"), "page_id")
+
+
 def rated(spark: SparkSession, d: str) -> DataFrame:
     """``product_uid, product_title, search_term, relevance``: each labelled document (whole text)
     rated against a benchmark passage (whole text)."""
-    labels, documents, benchmark = (
-        read_table(spark, d, t) for t in ("labels", "documents", "benchmark")
-    )
+    labels, benchmark = read_table(spark, d, "labels"), read_table(spark, d, "benchmark")
     passages = benchmark.agg(F.count("*")).scalar()
     return (
-        labels.join(documents, "doc_id")
+        labels.join(documents(spark, d), "doc_id")
         .withColumn("item_id", F.col("doc_id") % passages)
         .join(benchmark.select("item_id", F.col("text").alias("search_term")), "item_id")
         .select(
@@ -33,12 +39,12 @@ def rated(spark: SparkSession, d: str) -> DataFrame:
 
 def descriptions(spark: SparkSession, d: str) -> DataFrame:
     """``product_uid, product_description``: a whole web page per document."""
-    documents, pages = read_table(spark, d, "documents"), read_table(spark, d, "pages")
-    n = pages.agg(F.count("*")).scalar()
+    html = read_table(spark, d, "pages")
+    n = html.agg(F.count("*")).scalar()
     return (
-        documents.select(F.col("doc_id").alias("product_uid"))
+        read_table(spark, d, "documents").select(F.col("doc_id").alias("product_uid"))
         .withColumn("page_id", F.col("product_uid") % n)
-        .join(pages.select("page_id", F.col("html").alias("product_description")), "page_id")
+        .join(html.select("page_id", F.col("html").alias("product_description")), "page_id")
         .select("product_uid", "product_description")
     )
 
