@@ -25,6 +25,7 @@ from shelfmatch.operators.relational import skew_join
 
 # Parts that the rows of a word are cut into when words are joined with a table of words.
 WORD_PARTS = 16
+WORD2VEC_ROWS = 500
 
 
 def _term_rows(df: DataFrame, ids: list[str], tokens: str) -> DataFrame:
@@ -109,9 +110,15 @@ def fit_word2vec(
     size: int = 100,
     min_count: int = 0,
     seed: int = 42,
-    partitions: int = 1,
+    partitions: int | None = None,
 ):
-    """Word vectors learnt from a corpus; raise ``partitions`` and ``min_count`` with its size."""
+    """Word vectors learnt from a corpus, by default in one part per WORD2VEC_ROWS rows.
+
+    The number of parts follows from the corpus alone, so that equal runs give equal vectors.
+    Raise ``min_count`` with the size of the vocabulary: the model is held as a whole.
+    """
+    if partitions is None:
+        partitions = min(df.count() // WORD2VEC_ROWS + 1, 1024)
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,

@@ -22,11 +22,14 @@ from shelfmatch.functions.vectors import dot, euclidean, jaccard_distance
 from shelfmatch.operators.relational import skew_join
 
 FREQUENT_WORDS = 1024
+COUNTED_BELOW = 0.5
 
 
 def _keyed(side: DataFrame, id_: str, value: Column, text: Column) -> DataFrame:
     """``id, key, value`` where equal values have equal keys (a 128-bit digest of the value)."""
-    return side.select(F.col(id_).alias("id"), value.alias("value")).withColumn("key", F.md5(text))
+    return side.select(F.col(id_).alias("id"), value.alias("value")).withColumn(
+        "key", F.unhex(F.md5(text))
+    )
 
 
 def _token_side(side: DataFrame, id_: str, tokens: str) -> DataFrame:
@@ -40,6 +43,15 @@ def _vector_side(side: DataFrame, id_: str, vec: str) -> DataFrame:
     )
 
 
+def _set_distance(a: str, b: str) -> Column:
+    """Jaccard distance of lists without repeated words."""
+    return _distance_of(F.size(F.array_intersect(a, b)), F.size(a), F.size(b))
+
+
+def _distance_of(shared: Column, size_a: Column, size_b: Column) -> Column:
+    return 1 - F.try_divide(shared.cast("double"), (size_a + size_b - shared).cast("double"))
+
+
 def _distinct(keyed: DataFrame) -> DataFrame:
     return keyed.select("key", "value").dropDuplicates(["key"])
 
@@ -123,22 +135,45 @@ def jaccard_join(
     candidates = _join_on_hashes(
         signed_a, signed_b, F.col("signature") if rows == 1 else banded
     )
-    pairs = _verify(candidates, sets_a, sets_b, jaccard_distance, threshold)
+    pairs = _verify(candidates, sets_a, sets_b, _set_distance, threshold)
     return _put_ids_back(pairs, keyed_a, keyed_b)
 
 
+def _count_shared(sets_a: DataFrame, sets_b: DataFrame, threshold: float) -> DataFrame:
+    def words(sets: DataFrame, side: str) -> DataFrame:
+        return sets.select(
+            F.col("key").alias(f"key_{side}"),
+            F.size("value").alias(f"size_{side}"),
+            F.explode_outer("value").alias("word"),
+        )
+
+    shared = (
+        skew_join(words(sets_a, "a"), words(sets_b, "b"), ["word"], ["key_a"])
+        .groupBy("key_a", "size_a", "key_b", "size_b")
+        .agg(F.count("*").alias("shared"))
+    )
+    distance = _distance_of(F.col("shared"), F.col("size_a"), F.col("size_b"))
+    return shared.select("key_a", "key_b", distance.alias("distance")).where(
+        F.col("distance") < threshold
+    )
+
+
 def jaccard_join_exact(
     a: DataFrame, b: DataFrame, id_: str, tokens: str, threshold: float = 1.0
 ) -> DataFrame:
-    """All pairs of word sets below a Jaccard distance, found by prefix filtering.
+    """All pairs of word sets below a Jaccard distance.
 
-    Words are put in one order with the frequent ones last. Two sets of similarity ``s`` or more
+    For a similarity ``s`` under COUNTED_BELOW nearly every shared word makes a candidate, so the
+    shared words are counted and the distance follows from the count. From there on prefixes
+    filter: words are put in one order with the frequent ones last. Two sets of similarity ``s`` or more
     must share a word among the first ``n - ceil(s * n) + 1`` of each, so only those are joined,
     and only sets whose sizes can reach ``s`` become candidates.
     """
     s = 1.0 - threshold
     keyed_a, keyed_b = _token_side(a, id_, tokens), _token_side(b, id_, tokens)
     sets_a, sets_b = _distinct(keyed_a), _distinct(keyed_b)
+    if s < COUNTED_BELOW:
+        return _put_ids_back(_count_shared(sets_a, sets_b, threshold), keyed_a, keyed_b)
 
     # the most frequent words, a bounded list; any order would be right, this one is fast
     words = (
@@ -165,7 +200,7 @@ def jaccard_join_exact(
     joined = skew_join(prefixes(sets_a, "a"), prefixes(sets_b, "b"), ["word"], ["key_a"])
     smaller, larger = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
     candidates = joined.where(smaller >= s * larger - 1e-9)
-    pairs = _verify(candidates, sets_a, sets_b, jaccard_distance, threshold)
+    pairs = _verify(candidates, sets_a, sets_b, _set_distance, threshold)
     return _put_ids_back(pairs, keyed_a, keyed_b)
 
 

@@ -6,7 +6,9 @@ stay one wide row from text to features; nothing is split into branches and join
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.stemming import stem_tokens
@@ -63,9 +65,17 @@ def words_of(
         to_double("relevance").alias("relevance"),
         *[remove_stopwords(tokenize(c)).alias(f) for f, c in cols.items()],
     )
-    if stem:
-        df = df.withColumns({f: stem_tokens(f, stem) for f in fields})
-    return df
+    if not stem:
+        return df
+    # one stemming of all fields in a row, then each field's share of it
+    sizes = {f: F.size(f) for f in fields}
+    stemmed = df.withColumn("stems", stem_tokens(F.flatten(F.array(*fields)), stem))
+    starts = [reduce(Column.__add__, list(sizes.values())[:i], F.lit(1)) for i in range(len(fields))]
+    return stemmed.select(
+        "pair_id",
+        "relevance",
+        *[F.slice("stems", start, sizes[f]).alias(f) for f, start in zip(fields, starts)],
+    )
 
 
 def overlap_features(pairs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -81,11 +82,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint, so that what follows neither recomputes the frame nor loses it with an executor."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Write the frame as a table in the shared folder and go on from there.
+
+    What follows neither recomputes it nor loses it with an executor, reads only the columns it
+    needs, and plans with the table's true size.
+    """
+    return materialize(df, f"{shared_folder(df.sparkSession)}/kept-{uuid.uuid4().hex}")
 
 
 def is_empty(df: DataFrame) -> bool:

@@ -44,8 +44,10 @@ def found(df):
     return out
 
 
+@pytest.mark.parametrize("counted_below", [0.0, 0.5])
 @pytest.mark.parametrize("threshold", [1.0, 0.8, 0.5, 0.3, 0.01])
-def test_exact_jaccard_is_brute_force(spark, threshold):
+def test_exact_jaccard_is_brute_force(spark, monkeypatch, threshold, counted_below):
+    monkeypatch.setattr(sj, "COUNTED_BELOW", counted_below)
     a, b, da, db = token_sides(spark)
     want = brute_jaccard(a, b, threshold)
     assert found(sj.jaccard_join_exact(da, db, "id", "t", threshold)) == pytest.approx(want)
@@ -53,6 +55,7 @@ def test_exact_jaccard_is_brute_force(spark, threshold):
 
 def test_exact_jaccard_with_few_frequent_words(spark, monkeypatch):
     monkeypatch.setattr(sj, "FREQUENT_WORDS", 3)
+    monkeypatch.setattr(sj, "COUNTED_BELOW", 0.0)
     a, b, da, db = token_sides(spark)
     want = brute_jaccard(a, b, 0.6)
     assert found(sj.jaccard_join_exact(da, db, "id", "t", 0.6)) == pytest.approx(want)
