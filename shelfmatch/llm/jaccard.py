@@ -25,6 +25,7 @@ PERCENT = 85
 FREQUENT = 6  # an n-gram of 2 ** 6 documents or more is frequent
 COMBINED_FROM = 4  # documents of fewer than 2 ** 4 n-grams index frequent ones alone
 PER_CLASS = 16  # a band of sizes from 2 ** b on has 2 ** b / 16 classes
+CELL_ROWS, CELL_GRAMS = 1024, 1 << 20  # what is compared at a time, on each side
 SETS = "id long, size long, keys array<long>, grams array<long>"
 
 
@@ -173,10 +174,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links enough to tie all similar documents together, columns a and b.
 
-    Under each key all documents are first compared with one of them, then, across the components
-    that this gives, with all others that aren't in their own component. Most documents of a large
-    group of near copies are in one component after the first round, so that its pairs are never
-    listed; no pair that could tie two components is left out.
+    Each document is first compared with the one that it meets most often as the first under a key,
+    which puts most documents of a large group of near copies into one component. Then all that
+    meet under a key and are in different components are compared; no pair that could tie two
+    components is left out.
     """
     index = sets.select("id", "size", F.explode("keys").alias("key"))
     least = F.min(F.struct("id", "size")).alias("first")
@@ -196,22 +197,89 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = met.join(tied, "id", "left").select(
         "key", "id", "size", F.coalesce("component", "id").alias("component"), F.col("first.id").alias("first")
     )
-    main = F.max(F.when(F.col("id") == F.col("first"), F.col("component"))).alias("main")
-    mixed = named.groupBy("key").agg(
-        main, F.min("component").alias("low"), F.max("component").alias("high")
+    ends = [F.min("component").alias("low"), F.max("component").alias("high")]
+    mixed = named.groupBy("key").agg(*ends).where("low < high").select("key")
+    left = keep(named.join(mixed, "key").select("key", "id", "size", "component", "first").distinct())
+    return first.unionByName(keep(_across(left, sets, percent)))
+
+
+def _across(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components that meet under a key.
+
+    Documents that meet, also by way of others, are a cluster. In each cluster the documents that
+    are not in its largest component are compared with all others, a chunk of the ones with a chunk
+    of the others at a time. Pairs are never rows; a cell gives links that tie what it finds.
+    """
+    cluster = components(left.select(F.col("first").alias("a"), F.col("id").alias("b")))
+    cluster = cluster.withColumnRenamed("component", "cluster")
+    docs = left.select("id", "size", "component").distinct().join(cluster, "id")
+    parts = docs.groupBy("cluster", "component").agg(
+        F.count("*").alias("n"), F.sum("size").alias("grams")
+    )
+    whole = parts.groupBy("cluster").agg(
+        F.max(F.struct("n", "grams", "component")).alias("main"),
+        F.sum("n").alias("n"),
+        F.sum("grams").alias("grams"),
+    )
+    chunks = lambda n, grams: F.greatest(F.ceil(n / CELL_ROWS), F.ceil(grams / CELL_GRAMS), F.lit(1))
+    n, grams, main = F.col("n"), F.col("grams"), F.col("main")
+    whole = whole.select(
+        "cluster",
+        main["component"].alias("main"),
+        chunks(n, grams).cast("int").alias("all_chunks"),
+        chunks(n - main["n"], grams - main["grams"]).cast("int").alias("own_chunks"),
+    )
+    rows = docs.drop("size").join(whole, "cluster").join(sets.select("id", "grams"), "id")
+    part = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = rows.where("component != main").select(
+        "cluster", part("own_chunks", 1).alias("i"), each("all_chunks").alias("j"),
+        F.lit(True).alias("own"), "id", "component", "grams",
     )
-    mixed = mixed.where("low < high").select("key", "main")
-    left = keep(named.join(mixed, "key").select("key", "id", "size", "component", "main"))
-    one = left.where("component != main").select("key", *[F.col(c).alias(f"{c}1") for c in ("id", "size", "component")])
-    two = left.select("key", *[F.col(c).alias(f"{c}2") for c in ("id", "size", "component")])
-    pairs = (
-        one.join(two, "key")
-        .where((F.col("component1") != F.col("component2")) & _compatible("size1", "size2", percent))
-        .select(F.least("id1", "id2").alias("a"), F.greatest("id1", "id2").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
+    others = rows.select(
+        "cluster", each("own_chunks").alias("i"), part("all_chunks", 2).alias("j"),
+        F.lit(False).alias("own"), "id", "component", "grams",
     )
-    return first.unionByName(keep(_verified(pairs, sets, percent)))
+    cells = own.unionByName(others).groupBy("cluster", "i", "j")
+    return cells.applyInArrow(lambda table: _cell(table, percent), "a long, b long")
+
+
+def _cell(table: pa.Table, percent: int) -> pa.Table:
+    """Compare the own documents of a cell with the others by counting shared n-grams."""
+    own = table["own"].to_numpy()
+    ids, component = table["id"].to_numpy(), table["component"].to_numpy()
+    lists = pa.concat_arrays(table["grams"].chunks)
+    size = np.diff(lists.offsets.to_numpy())
+    row = np.repeat(np.arange(len(ids)), size)
+    _, gram = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    mine, theirs = np.flatnonzero(own), np.flatnonzero(~own)
+    place = np.empty(len(ids), np.int64)
+    place[mine], place[theirs] = np.arange(len(mine)), np.arange(len(theirs))
+    # only n-grams of both sides count
+    sides = [np.zeros(gram.max() + 1, bool), np.zeros(gram.max() + 1, bool)]
+    sides[0][gram[own[row]]] = sides[1][gram[~own[row]]] = True
+    number = np.cumsum(sides[0] & sides[1]) - 1
+    both = (sides[0] & sides[1])[gram]
+    row, gram = row[both], number[gram[both]]
+    order = np.argsort(gram, kind="stable")
+    row, gram = row[order], gram[order]
+    shared = np.zeros((len(mine), len(theirs)), np.float32)
+    step = 4096  # n-grams at a time
+    for low in range(0, int(number.max(initial=-1)) + 1, step):
+        a, b = np.searchsorted(gram, [low, low + step])
+        some, at = row[a:b], gram[a:b] - low
+        left = np.zeros((len(mine), step), np.float32)
+        right = np.zeros((len(theirs), step), np.float32)
+        left[place[some[own[some]]], at[own[some]]] = 1
+        right[place[some[~own[some]]], at[~own[some]]] = 1
+        shared += left @ right.T
+    union = size[mine][:, None] + size[theirs][None, :] - shared
+    link = (100 * shared >= percent * union) & (component[mine][:, None] != component[theirs][None, :])
+    # one link between two components is enough
+    i, j = np.nonzero(link)
+    ties = np.stack([component[mine[i]], component[theirs[j]]], axis=1)
+    _, once = np.unique(ties, axis=0, return_index=True)
+    return pa.table({"a": pa.array(ids[mine[i[once]]], pa.int64()), "b": pa.array(ids[theirs[j[once]]], pa.int64())})
 
 
 def link_similar(
