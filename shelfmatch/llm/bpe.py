@@ -232,6 +232,12 @@ class Tokenizer:
         return "".join(out)
 
 
+@lru_cache(1)
+def tokenizer_of(name: str) -> Tokenizer:
+    """One for all tasks of a worker."""
+    return Tokenizer(name)
+
+
 def encode(df: DataFrame, text: str = "text", name: str = VOCABULARY, digests: bool = False) -> DataFrame:
     """The columns of ``df`` and a struct ``tokens``: ids and the decoded text.
 
@@ -253,7 +259,7 @@ def encode(df: DataFrame, text: str = "text", name: str = VOCABULARY, digests: b
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(name)
+        tokenizer = tokenizer_of(name)
         for batch in batches:
             found = [_answer(tokenizer, t.as_py() or "", digests) for t in batch[1]]
             columns = list(zip(*found)) or [[] for _ in out]

@@ -7,6 +7,7 @@ left to right. A text is as likely as its words together.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -231,6 +232,17 @@ class Scorer(dict):
         return self.languages[best], float(1.0 / np.exp(np.minimum(scores - scores[best], 0)).sum())
 
 
+_scorers: dict[str, Scorer] = {}  # of this worker, by model: the last one
+
+
+def scorer_of(model_id: str, model: tuple) -> Scorer:
+    """One for all tasks of a worker that use the same model."""
+    if model_id not in _scorers:
+        _scorers.clear()
+        _scorers[model_id] = Scorer(*model)
+    return _scorers[model_id]
+
+
 def predict(
     df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", name: str = VOCABULARY
 ) -> DataFrame:
@@ -241,6 +253,7 @@ def predict(
     the alphabet. A column named ``language`` of the input is replaced.
     """
     shared = df.sparkSession.sparkContext.broadcast((*model, name))
+    model_id = uuid.uuid4().hex
     kept = [c for c in df.columns if c != "language"]
     row = df.select(F.struct(*kept).alias("_row"), F.col(text).alias("_text"))
     row_type = T.StructType([f for f in df.schema if f.name in kept])
@@ -257,7 +270,7 @@ def predict(
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*shared.value)
+        scorer = scorer_of(model_id, shared.value)
         for batch in batches:
             found = []
             for at in range(0, batch.num_rows, TEXTS):

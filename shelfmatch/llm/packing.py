@@ -9,10 +9,12 @@ only lengths and keys move.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -27,7 +29,9 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 2  # id after each document
 GROUP_ROWS = 2000  # pieces packed together: enough that the last windows hardly count
-KNOWN_WORDS = 250_000  # words a worker remembers with their ids, twice
+KNOWN_WORDS = 400_000  # words a worker remembers with their ids, twice
+# the vocabulary cuts between a letter and such a mark, so that a space there changes nothing
+_MARK = re.compile(r"(?<=[A-Za-z])(?=[.,]+(?: |$))")
 
 
 class KnownWords(dict):
@@ -45,7 +49,7 @@ class KnownWords(dict):
 
     def text(self, text: str) -> bytes:
         """Ids of a text, 4 little-endian bytes each. White space is dropped by the vocabulary."""
-        words = text.split(" ")
+        words = _MARK.sub(" ", text).split(" ")
         older = self.older
         missing = []
         for w in set(words):
@@ -65,6 +69,12 @@ class KnownWords(dict):
         return out
 
 
+@lru_cache(1)
+def known_words(name: str) -> KnownWords:
+    """One for all tasks of a worker."""
+    return KnownWords(name)
+
+
 def _pack(ids: list[int]) -> bytes:
     packed = array("I", ids)
     if packed.itemsize != 4 or sys.byteorder != "little":
@@ -95,7 +105,7 @@ def token_pieces(
     tail, step = end.to_bytes(4, "little"), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = KnownWords(name)
+        words = known_words(name)
         for batch in batches:
             row, columns = [], [[], [], [], [], []]
             for i, t in enumerate(batch[1]):
