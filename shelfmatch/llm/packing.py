@@ -50,18 +50,12 @@ class KnownWords(dict):
     def text(self, text: str) -> bytes:
         """Ids of a text, 4 little-endian bytes each. White space is dropped by the vocabulary."""
         words = _MARK.sub(" ", text).split(" ")
-        older = self.older
-        missing = []
-        for w in set(words):
-            if w not in self:
-                found = older.get(w)
-                if found is None:
-                    missing.append(w)
-                else:
-                    self[w] = found
-        found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        for w, e in zip(missing, found):
-            self[w] = _pack(e.ids)
+        missing = [w for w in set(words) if w not in self]
+        if missing:
+            self.update((w, self.older[w]) for w in missing if w in self.older)
+            missing = [w for w in missing if w not in self]
+            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+            self.update(zip(missing, [_pack(e.ids) for e in found]))
         out = b"".join(map(self.__getitem__, words))
         if len(self) > KNOWN_WORDS:
             self.older = dict(self)
