@@ -25,6 +25,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """Half as many as partitions: blocks times buckets is the number of letters."""
+    return max(1, partitions(spark) // 2)
+
+
 def in_blocks(df: DataFrame, key: str) -> DataFrame:
     """Columns _block and _row, the row as a struct, so that no column name can clash."""
     n = partitions(df.sparkSession)

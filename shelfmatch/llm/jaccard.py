@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import LETTERS, answers, asked, in_blocks, letters, partitions, shared_counts
+from .blocks import LETTERS, answers, asked, bucket_count, in_blocks, letters, shared_counts
 from .components import components
 from .kept import keep
 from .words import combine, mix, split_words, windows
@@ -138,7 +138,7 @@ def index_keys(grams: np.ndarray, common: np.ndarray, percent: int = PERCENT) ->
 
 def _sets(base: DataFrame, standing: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Of each document that stands for its copies: size, index keys and, if it has any, its set."""
-    buckets = partitions(base.sparkSession)
+    buckets = bucket_count(base.sparkSession)
     placed = in_blocks(base, "id")
     chosen = in_blocks(standing.select("id"), "id").select("_block", F.col("_row.id").alias("id"))
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import LETTERS, answers, asked, in_blocks, letters, partitions, shared_counts
+from .blocks import LETTERS, answers, asked, bucket_count, in_blocks, letters, shared_counts
 from .words import mix, split_words, windows
 
 WINDOW = 20
@@ -157,7 +157,7 @@ def remove_repeats(
     text. The key must be an integer. A column named ``repeats`` is replaced.
     """
     lengths = levels(window, shortest)
-    buckets = partitions(docs.sparkSession)
+    buckets = bucket_count(docs.sparkSession)
     docs = docs.drop("repeats")
     docs = docs.withColumn(key, F.col(key).cast("long"))
     placed = in_blocks(docs, key)
