@@ -23,10 +23,6 @@ from pyspark.sql import functions as F
 from shelfmatch.functions.text import let, term_counts
 from shelfmatch.operators.relational import skew_join
 
-# Parts that the rows of a word are cut into when words are joined with a table of words.
-WORD_PARTS = 16
-WORD2VEC_ROWS = 500
-
 
 def _term_rows(df: DataFrame, ids: list[str], tokens: str) -> DataFrame:
     """Ids and ``e`` with ``e.term, e.n`` for every distinct word of a row.
@@ -69,7 +65,7 @@ def tfidf_long(df: DataFrame, id_: str, tokens: str, fit_on: DataFrame, fit_toke
     )
     known = term_stats(fit_on, fit_tokens).select("term", "df")
     df_or_0 = F.coalesce(F.col("df"), F.lit(0))
-    return skew_join(long, known, ["term"], [id_], parts=WORD_PARTS, how="left").select(
+    return skew_join(long, known, ["term"], [id_], how="left").select(
         id_, "term", "tf", (F.col("tf") * F.log((size + 1.0) / (df_or_0 + 1.0))).alias("weight")
     )
 
@@ -100,7 +96,7 @@ def count_vectors_long(
     long = _term_rows(df, [id_], tokens).select(
         id_, F.col("e.term").alias("term"), F.col("e.n").alias("n")
     )
-    return skew_join(long, vocabulary, ["term"], [id_], parts=WORD_PARTS).select(id_, "term", "n")
+    return skew_join(long, vocabulary, ["term"], [id_]).select(id_, "term", "n")
 
 
 def fit_word2vec(
@@ -110,15 +106,16 @@ def fit_word2vec(
     size: int = 100,
     min_count: int = 0,
     seed: int = 42,
-    partitions: int | None = None,
+    partitions: int = 1,
 ):
-    """Word vectors learnt from a corpus, by default in one part per WORD2VEC_ROWS rows.
+    """Word vectors learnt from a corpus in ``partitions`` parts, which are trained side by side.
 
-    The number of parts follows from the corpus alone, so that equal runs give equal vectors.
-    Raise ``min_count`` with the size of the vocabulary: the model is held as a whole.
+    Rows are dealt out and sorted by their words, so that the vectors follow from the corpus and the
+    parameters alone. Raise ``partitions`` with the corpus, and ``min_count`` with the size of the
+    vocabulary: the model is held as a whole.
     """
-    if partitions is None:
-        partitions = min(df.count() // WORD2VEC_ROWS + 1, 1024)
+    digest = F.xxhash64(tokens)
+    ordered = df.select(tokens).repartition(partitions, digest).sortWithinPartitions(digest, tokens)
     return Word2Vec(
         vectorSize=size,
         minCount=min_count,
@@ -126,7 +123,7 @@ def fit_word2vec(
         numPartitions=partitions,
         inputCol=tokens,
         outputCol=out,
-    ).fit(df)
+    ).fit(ordered)
 
 
 def embed_tokens(df: DataFrame, tokens: str, model, out: str | None = None) -> DataFrame:

@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most HOT_KEYS keys are treated as hot, whatever the size of the table; that bounds what
-# skew_join lets Spark broadcast. A key beyond them holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 1024
 HOT_ROWS = 1_000_000  # rows of a key that one task takes without being cut
 TEXT_FIELDS = ["product_title", "search_term", "product_description", "value"]
 
 
+def _parts(rows: str, hot_rows: int) -> Column:
+    return F.ceil(F.col(rows) / hot_rows).cast("int").alias("_parts")
+
+
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys of more than ``hot_rows`` rows, with the number of parts to cut them into."""
+    """The keys of more than ``hot_rows`` rows, with the number of parts to cut them into."""
     counts = df.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-    largest = counts.orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
-    parts = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(HOT_KEYS)).cast("int")
-    return largest.select(*on, parts.alias("_parts"))
+    return counts.select(*on, _parts("_rows", hot_rows))
 
 
 def skew_join(
@@ -26,23 +25,17 @@ def skew_join(
     on: list[str],
     spread: list[str],
     hot: DataFrame | None = None,
-    parts: int | None = None,
     how: str = "inner",
 ) -> DataFrame:
     """Inner or left equi-join in which the hot keys of ``left`` are spread over many tasks.
 
     Rows of a hot key are dealt out by the hash of their ``spread`` columns, and the matching rows
     of ``right`` are repeated for every part. All other keys join as usual. No row is dropped.
-    Finding the hot keys reads ``left`` once more; where that is dear and ``right`` is the smaller
-    side, ``parts`` cuts every key into that many parts without looking.
+    Finding the hot keys reads ``left`` once more, unless ``hot`` has them.
     """
-    if parts is not None:
-        cut = F.lit(parts)
-        dealt, repeated = left, right
-    else:
-        hot = F.broadcast(hot_keys(left, on) if hot is None else hot)
-        cut = F.coalesce(F.col("_parts"), F.lit(1))
-        dealt, repeated = left.join(hot, on, "left"), right.join(hot, on, "left")
+    hot = hot_keys(left, on) if hot is None else hot
+    cut = F.coalesce(F.col("_parts"), F.lit(1))
+    dealt, repeated = left.join(hot, on, "left"), right.join(hot, on, "left")
     part = F.pmod(F.xxhash64(*spread), cut.cast("long")).cast("int")
     dealt = dealt.withColumn("_part", part).drop("_parts")
     repeated = repeated.withColumn("_part", F.explode(F.sequence(F.lit(0), cut - 1))).drop("_parts")
@@ -112,7 +105,8 @@ def dedupe_pairs(df: DataFrame, keys: list[str]) -> DataFrame:
 def drop_singletons(df: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
     """Keep rows whose key occurs more than once. A key may hold any share of the rows."""
     repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-    return skew_join(df, repeated.select(*keys), keys, spread)
+    hot = repeated.where(F.col("_n") > HOT_ROWS).select(*keys, _parts("_n", HOT_ROWS))
+    return skew_join(df, repeated.select(*keys), keys, spread, hot)
 
 
 def rank_pairs(df: DataFrame, score: str, ties: list[str]) -> DataFrame:

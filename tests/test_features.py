@@ -127,3 +127,18 @@ def test_select_features(spark, method):
     df = fe.assemble(spark.createDataFrame(rows, "y double, a double, b double, c double"), ["a", "b", "c"])
     model = fe.select_features(df, 1, "y", method=method)
     assert list(model.selectedFeatures) == [1]
+
+
+def test_word_vectors_do_not_follow_from_the_partitioning(spark):
+    docs = spark.createDataFrame(
+        [([f"w{(i * j) % 17}" for j in range(1, 9)],) for i in range(200)], "w array<string>"
+    )
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 4, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            model = fe.fit_word2vec(docs.repartition(n), "w", size=4, partitions=2)
+            seen.append(sorted((r.word, tuple(r.vector)) for r in model.getVectors().collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] == seen[2]

@@ -25,7 +25,6 @@ def test_skew_join_is_a_join(spark):
     for joined in (
         re_.skew_join(left, right, ["k"], ["x"], hot),
         re_.skew_join(left, right, ["k"], ["x"]),
-        re_.skew_join(left, right, ["k"], ["x"], parts=4),
     ):
         assert rows(joined.select("k", "x", "y")) == want
     few = right.where(F.col("k") < 10)
@@ -41,10 +40,12 @@ def test_skew_join_spreads_the_hot_key(spark):
     assert parts == 11
 
 
-def test_hot_keys_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(re_, "HOT_KEYS", 3)
-    df = spark.range(1000).select((F.col("id") % 10).alias("k"))
-    assert re_.hot_keys(df, ["k"], 10).count() == 3
+def test_every_hot_key_is_cut_into_enough_parts(spark):
+    df = spark.range(6000).select((F.col("id") % 2000).alias("k"))
+    hot = re_.hot_keys(df, ["k"], 2)
+    assert hot.count() == 2000 and {r._parts for r in hot.collect()} == {2}
+    one = spark.range(5000).select(F.lit(1).alias("k"))
+    assert re_.hot_keys(one, ["k"], 2).first()._parts == 2500
 
 
 def test_consolidate_multiplies_and_drops(spark):

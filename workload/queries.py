@@ -560,7 +560,7 @@ def count_vectors(spark, d):
 
 @query
 def word2vec(spark, d):
-    words = pair_words(spark, d, "porter")
+    words = so.cut_lineage(pair_words(spark, d, "porter"))
     vectors = fe.fit_word2vec(words, "title").getVectors()
     return vectors.select("word", r6(F.get(vector_to_array("vector"), F.lit(0)), "first"))
 
@@ -860,23 +860,23 @@ def match_by_cosine(spark, d):
 
 @query
 def match_by_jaccard(spark, d):
-    return _rounded(
-        match.match_by_jaccard(wt.pairs(spark, d), rows_per_side=None, keep_unmatched=True)
-    )
+    return _rounded(match.match_by_jaccard(wt.pairs(spark, d)))
 
 
 @query
 def match_by_jaccard_top500(spark, d):
-    return _rounded(match.match_by_jaccard(wt.pairs(spark, d)))
+    return _rounded(
+        match.match_by_jaccard(wt.pairs(spark, d), rows_per_side=500, keep_unmatched=False)
+    )
 
 
 @query
 def match_by_euclidean(spark, d):
     counted = match.count_pairs(wt.pairs(spark, d))
-    return _rounded(match.match_by_euclidean(counted, 5.0, rows_per_side=None))
+    return _rounded(match.match_by_euclidean(counted, 5.0, below=1000.0))
 
 
 @query
 def match_by_euclidean_top500(spark, d):
     counted = match.count_pairs(wt.pairs(spark, d))
-    return _rounded(match.match_by_euclidean(counted, 20.0))
+    return _rounded(match.match_by_euclidean(counted, 20.0, rows_per_side=500, below=1000.0))
