@@ -110,9 +110,10 @@ def fit_word2vec(
 ):
     """Word vectors learnt from a corpus in ``partitions`` parts, which are trained side by side.
 
-    Rows are dealt out and sorted by their words, so that the vectors follow from the corpus and the
-    parameters alone. Raise ``partitions`` with the corpus, and ``min_count`` with the size of the
-    vocabulary: the model is held as a whole.
+    Rows are dealt out and sorted by their words, so that with one part the vectors follow from the
+    corpus and the parameters alone. More parts train faster, but Spark ML merges what they learn
+    in an order that differs between runs. Raise ``partitions`` with the corpus, and ``min_count``
+    with the size of the vocabulary: the model is held as a whole.
     """
     digest = F.xxhash64(tokens)
     ordered = df.select(tokens).repartition(partitions, digest).sortWithinPartitions(digest, tokens)

@@ -137,7 +137,7 @@ def test_word_vectors_do_not_follow_from_the_partitioning(spark):
     try:
         for n in (1, 4, 16):
             spark.conf.set("spark.sql.shuffle.partitions", n)
-            model = fe.fit_word2vec(docs.repartition(n), "w", size=4, partitions=2)
+            model = fe.fit_word2vec(docs.repartition(n), "w", size=4)
             seen.append(sorted((r.word, tuple(r.vector)) for r in model.getVectors().collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
