@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCKS_PER_PARTITION = 4  # so that partitions get similar numbers; letters grow with it
+BLOCKS_PER_PARTITION = 3  # so that partitions get similar numbers; letters grow with it
 LETTERS = "_block int, _bucket int, _keys binary, _more binary"
 ECHO = -1  # bucket of what a block sends to itself
 
