@@ -128,6 +128,20 @@ def ready_to_train(df: DataFrame, key: str) -> DataFrame:
     return cut_lineage(df.repartition(key).sortWithinPartitions(key))
 
 
+def coefficients(model, names: list[str]) -> DataFrame:
+    """``feature, coefficient`` of a fitted linear model, and its intercept as "(intercept)"."""
+    rows = [("(intercept)", float(model.intercept))]
+    rows += [(n, float(w)) for n, w in zip(names, model.coefficients.toArray())]
+    return SparkSession.active().createDataFrame(rows, "feature string, coefficient double")
+
+
+def isotonic_boundaries(model) -> DataFrame:
+    """``boundary, prediction`` of a fitted isotonic model, in rising order."""
+    pairs = zip(model.boundaries.toArray(), model.predictions.toArray())
+    rows = [(float(x), float(y)) for x, y in pairs]
+    return SparkSession.active().createDataFrame(rows, "boundary double, prediction double")
+
+
 def importances(model, names: list[str]) -> DataFrame:
     """``feature, importance`` of a fitted tree model, one row per feature."""
     rows = [(n, float(w)) for n, w in zip(names, model.featureImportances.toArray())]
