@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.vectors import bin_label
+from shelfmatch.operators.features import fit_word2vec
 from shelfmatch.plans import match
 from shelfmatch.plans.classify import classification_frames, classify_relevance
 from shelfmatch.plans.features import OVERLAP_FEATURES, overlap_features
@@ -82,6 +83,23 @@ def test_match_by_cosine(spark):
     assert (got.TP, got.TN, got.FP, got.FN) == (1, 1, 0, 0) and got.f1 == 1.0
 
 
+def test_match_words_by_cosine(spark):
+    rows = [
+        (1, "hammer steel", "hammer steel", "", "", "3"),
+        (2, "paint red", "unheard words", "", "", "1"),
+        (3, "steel hammer", "hammer", "", "", "3"),
+    ]
+    words = [(["hammer", "steel"],), (["steel", "hammer"],), (["paint", "red"],)]
+    model = fit_word2vec(spark.createDataFrame(words * 20, "w array<string>"), "w", size=5)
+    pairs = spark.createDataFrame(rows, COLS)
+    got = match.match_words_by_cosine(pairs, t=-1.0, word2vec=model, stem=None).first()
+    # the pair whose query has no known word has no cosine and drops
+    assert (got.TP, got.TN, got.FP, got.FN) == (2, 0, 0, 0)
+    # cosines of equal words are 1 up to rounding, those of one word out of two are less
+    high = match.match_words_by_cosine(pairs, t=1 - 1e-9, word2vec=model, stem=None).first()
+    assert (high.TP, high.FN) == (1, 1)
+
+
 def test_match_by_euclidean_sparse_is_dense(pairs):
     from pyspark.ml.functions import vector_to_array
 
