@@ -15,8 +15,14 @@ def _parts(rows: str, hot_rows: int) -> Column:
 
 def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """The keys of more than ``hot_rows`` rows, with the number of parts to cut them into."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-    return counts.select(*on, _parts("_rows", hot_rows))
+    return hot_counts(df.groupBy(*on).agg(F.count("*").alias("_rows")), on, "_rows", hot_rows)
+
+
+def hot_counts(
+    counts: DataFrame, on: list[str], rows: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``hot_keys`` from rows that have been counted already."""
+    return counts.where(F.col(rows) > hot_rows).select(*on, _parts(rows, hot_rows))
 
 
 def skew_join(
@@ -105,8 +111,7 @@ def dedupe_pairs(df: DataFrame, keys: list[str]) -> DataFrame:
 def drop_singletons(df: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
     """Keep rows whose key occurs more than once. A key may hold any share of the rows."""
     repeated = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-    hot = repeated.where(F.col("_n") > HOT_ROWS).select(*keys, _parts("_n", HOT_ROWS))
-    return skew_join(df, repeated.select(*keys), keys, spread, hot)
+    return skew_join(df, repeated.select(*keys), keys, spread, hot_counts(repeated, keys, "_n"))
 
 
 def rank_pairs(df: DataFrame, score: str, ties: list[str]) -> DataFrame:

@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from shelfmatch.functions.hashing import minhash_signature, projection_buckets, unit_directions
 from shelfmatch.functions.vectors import dot, euclidean, jaccard_distance
-from shelfmatch.operators.relational import skew_join
+from shelfmatch.operators.relational import hot_counts, skew_join
 
-FREQUENT_WORDS = 1024
 COUNTED_BELOW = 0.5
 
 
@@ -149,6 +148,7 @@ def _count_shared(sets_a: DataFrame, sets_b: DataFrame, threshold: float) -> Dat
 
     shared = (
         skew_join(words(sets_a, "a"), words(sets_b, "b"), ["word"], ["key_a"])
+        .where(_sizes_reach(1.0 - threshold))
         .groupBy("key_a", "size_a", "key_b", "size_b")
         .agg(F.count("*").alias("shared"))
     )
@@ -165,9 +165,9 @@ def jaccard_join_exact(
 
     For a similarity ``s`` under COUNTED_BELOW nearly every shared word makes a candidate, so the
     shared words are counted and the distance follows from the count. From there on prefixes
-    filter: words are put in one order with the frequent ones last. Two sets of similarity ``s`` or more
-    must share a word among the first ``n - ceil(s * n) + 1`` of each, so only those are joined,
-    and only sets whose sizes can reach ``s`` become candidates.
+    filter: the words of a set are ordered by how many sets have them, the most frequent last. Two
+    sets of similarity ``s`` or more must share a word among the first ``n - ceil(s * n) + 1`` of
+    each, so only those are joined. Either way only sets whose sizes can reach ``s`` are compared.
     """
     s = 1.0 - threshold
     keyed_a, keyed_b = _token_side(a, id_, tokens), _token_side(b, id_, tokens)
@@ -175,35 +175,38 @@ def jaccard_join_exact(
     if s < COUNTED_BELOW:
         return _put_ids_back(_count_shared(sets_a, sets_b, threshold), keyed_a, keyed_b)
 
-    # the most frequent words, a bounded list; any order would be right, this one is fast
     words = (
         sets_a.select("value").unionAll(sets_b.select("value"))
-        .select(F.explode("value").alias("word"))
-        .groupBy("word").agg(F.count("*").alias("n"))
+        .select(F.explode_outer("value").alias("word"))
+        .groupBy("word").agg(F.count("*").alias("_n"))
     )
-    most = words.orderBy(F.desc("n"), "word").limit(FREQUENT_WORDS)
-    frequent = most.agg(F.sort_array(F.collect_list("word"))).scalar()
+    hot = hot_counts(words, ["word"], "_n")
 
     def prefixes(sets: DataFrame, side: str) -> DataFrame:
-        size = F.size("value")
-        length = size - F.ceil(s * size - 1e-9).cast("int") + 1
-        ordered = F.concat(
-            F.array_except("value", F.col("frequent")),
-            F.array_intersect("value", F.col("frequent")),
-        )
-        return sets.withColumn("frequent", frequent).select(
+        single = sets.select(
             F.col("key").alias(f"key_{side}"),
-            size.alias(f"size_{side}"),
-            F.explode_outer(F.slice(ordered, F.lit(1), length)).alias("word"),
+            F.size("value").alias(f"size_{side}"),
+            F.explode_outer("value").alias("word"),
+        )
+        size = F.col(f"size_{side}")
+        length = size - F.ceil(s * size - 1e-9).cast("int") + 1
+        counted = skew_join(single, words, ["word"], [f"key_{side}"], hot)
+        ordered = F.sort_array(F.collect_list(F.struct("_n", "word")))["word"]
+        by_set = counted.groupBy(f"key_{side}", size).agg(ordered.alias("ordered"))
+        return by_set.select(
+            f"key_{side}", size, F.explode_outer(F.slice("ordered", F.lit(1), length)).alias("word")
         )
 
-    joined = skew_join(prefixes(sets_a, "a"), prefixes(sets_b, "b"), ["word"], ["key_a"])
-    smaller, larger = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    candidates = joined.where(smaller >= s * larger - 1e-9)
-    pairs = _verify(candidates, sets_a, sets_b, _set_distance, threshold)
+    joined = skew_join(prefixes(sets_a, "a"), prefixes(sets_b, "b"), ["word"], ["key_a"], hot)
+    pairs = _verify(joined.where(_sizes_reach(s)), sets_a, sets_b, _set_distance, threshold)
     return _put_ids_back(pairs, keyed_a, keyed_b)
 
 
+def _sizes_reach(s: float) -> Column:
+    """Whether sets of size_a and size_b words can have a similarity of ``s``."""
+    return F.least("size_a", "size_b") >= s * F.greatest("size_a", "size_b") - 1e-9
+
+
 def euclidean_join(
     a: DataFrame,
     b: DataFrame,
@@ -215,15 +218,27 @@ def euclidean_join(
     tables: int = 3,
     paired_only: bool = False,
     seed: int = 42,
+    per_table: int = 1,
 ) -> DataFrame:
-    """Pairs of vectors that share a random-projection bucket, with their Euclidean distance."""
+    """Pairs of vectors that share a random-projection bucket, with their Euclidean distance.
+
+    ``per_table`` projections make one bucket of a table together. Buckets must be short against
+    the distances between most vectors, or nearly all pairs share one: on unit vectors use several
+    projections of a bucket length near ``threshold``, and more tables to find enough.
+    """
     if paired_only:
         return _own_pairs(a, b, id_, vec, euclidean, threshold)
     keyed_a, keyed_b = _vector_side(a, id_, vec), _vector_side(b, id_, vec)
     vectors_a, vectors_b = _distinct(keyed_a), _distinct(keyed_b)
-    candidates = _join_on_hashes(
-        vectors_a, vectors_b, projection_buckets("value", dim, tables, bucket_length, seed)
-    )
+    buckets = projection_buckets("value", dim, tables * per_table, bucket_length, seed)
+    if per_table == 1:
+        candidates = _join_on_hashes(vectors_a, vectors_b, buckets)
+    else:
+        starts = [i * per_table + 1 for i in range(tables)]
+        together = F.array(*[F.array_join(F.slice("buckets", i, per_table), ",") for i in starts])
+        candidates = _join_on_hashes(
+            vectors_a.withColumn("buckets", buckets), vectors_b.withColumn("buckets", buckets), together
+        )
     pairs = _verify(candidates, vectors_a, vectors_b, euclidean, threshold)
     return _put_ids_back(pairs, keyed_a, keyed_b)
 

@@ -6,6 +6,7 @@ from pyspark.ml.feature import MinHashLSH
 from pyspark.sql import functions as F
 
 from shelfmatch.functions.hashing import minhash_signature
+from shelfmatch.operators import relational as re_
 from shelfmatch.operators import simjoin as sj
 
 
@@ -53,8 +54,9 @@ def test_exact_jaccard_is_brute_force(spark, monkeypatch, threshold, counted_bel
     assert found(sj.jaccard_join_exact(da, db, "id", "t", threshold)) == pytest.approx(want)
 
 
-def test_exact_jaccard_with_few_frequent_words(spark, monkeypatch):
-    monkeypatch.setattr(sj, "FREQUENT_WORDS", 3)
+def test_exact_jaccard_with_hot_words(spark, monkeypatch):
+    monkeypatch.setattr(re_, "HOT_ROWS", 5)
+    monkeypatch.setattr(re_.hot_counts, "__defaults__", (5,))
     monkeypatch.setattr(sj, "COUNTED_BELOW", 0.0)
     a, b, da, db = token_sides(spark)
     want = brute_jaccard(a, b, 0.6)
@@ -153,6 +155,16 @@ def test_projection_join(spark):
     assert len(got) >= 0.7 * len(want)
 
 
+def test_projections_together_leave_few_candidates(spark):
+    a, b, da, db = vector_sides(spark)
+    got = found(sj.euclidean_join(da, db, "id", "v", 6, 100.0, 1.0, tables=6, per_table=4))
+    want = brute(a, b, 100.0, "euclidean")
+    assert all(got[k] == pytest.approx(want[k]) for k in got)
+    assert {k for k, d in want.items() if d == 0} <= set(got)
+    apart = [k for k, d in want.items() if d > 0]
+    assert sum(k in got for k in apart) < 0.1 * len(apart)
+
+
 def test_no_cross_product_in_plans(spark):
     _, _, da, db = token_sides(spark)
     _, _, va, vb = vector_sides(spark)
