@@ -7,12 +7,12 @@ import math
 from pyspark.ml.feature import (
     IDF,
     PCA,
-    ChiSqSelector,
     CountVectorizer,
     HashingTF,
     Normalizer,
     UnivariateFeatureSelector,
     VectorAssembler,
+    VectorSlicer,
     Word2Vec,
 )
 from pyspark.ml.functions import vector_to_array
@@ -192,12 +192,13 @@ def chi2_scores(df: DataFrame, cols: list[str], label: str) -> DataFrame:
 
     Works from counts per (feature, value, class), so distinct values are not limited.
     """
-    long = df.select(F.col(label).alias("class"), *[F.col(c).cast("double").alias(c) for c in cols])
-    cells = (
-        long.unpivot(["class"], cols, "feature", "value")
-        .groupBy("feature", "value", "class")
-        .agg(F.count("*").alias("n"))
-    )
+    wide = df.select(F.col(label).alias("class"), *[F.col(c).cast("double").alias(c) for c in cols])
+    return _chi2_of(wide.unpivot(["class"], cols, "feature", "value"))
+
+
+def _chi2_of(long: DataFrame) -> DataFrame:
+    """``chi2_scores`` of rows ``class, feature, value``."""
+    cells = long.groupBy("feature", "value", "class").agg(F.count("*").alias("n"))
     by_value = cells.groupBy("feature", "value").agg(F.sum("n").alias("n_value"))
     by_class = cells.groupBy("feature", "class").agg(F.sum("n").alias("n_class"))
     # sum over cells of (observed - expected)^2 / expected equals N * (sum o^2 / (r * c) - 1),
@@ -231,13 +232,21 @@ def select_features(
 ):
     """Fitted selector of the ``k`` top features.
 
-    "chi2" treats every value as a category and takes up to 10,000 of them per feature; "f" scores
-    continuous features against a continuous label and has no such limit.
+    "chi2" treats every value as a category, any number of them; "f" scores continuous features
+    against a continuous label. Features rank by how unlikely their chi-squared statistic is,
+    measured by its normal score (Wilson and Hilferty), as p-values of strong features are all zero
+    in double precision. Equal scores go to the lower position; a constant feature comes last.
     """
     if method == "chi2":
-        return ChiSqSelector(
-            numTopFeatures=k, featuresCol=c, labelCol=label, outputCol=out
-        ).fit(df)
+        long = df.select(
+            F.col(label).alias("class"), F.posexplode(vector_to_array(c)).alias("feature", "value")
+        )
+        spread = 2 / (9 * F.col("dof"))
+        score = (F.cbrt(F.col("statistic") / F.col("dof")) - (1 - spread)) / F.sqrt(spread)
+        ranked = _chi2_of(long).select("feature", F.when(F.col("dof") > 0, score).alias("score"))
+        top = ranked.orderBy(F.desc_nulls_last("score"), "feature").limit(k)
+        positions = sorted(row["feature"] for row in top.collect())
+        return VectorSlicer(inputCol=c, outputCol=out, indices=positions)
     if method == "f":
         selector = UnivariateFeatureSelector(
             featuresCol=c, labelCol=label, outputCol=out, selectionMode="numTopFeatures"

@@ -126,7 +126,20 @@ def test_select_features(spark, method):
     ]
     df = fe.assemble(spark.createDataFrame(rows, "y double, a double, b double, c double"), ["a", "b", "c"])
     model = fe.select_features(df, 1, "y", method=method)
-    assert list(model.selectedFeatures) == [1]
+    got = model.transform(df).select(vector_to_array("selected_features").alias("v"), "b")
+    assert got.where("size(v) != 1 or v[0] != b").count() == 0
+
+
+def test_select_features_takes_any_number_of_values(spark):
+    df = spark.range(20_000).select(
+        (F.col("id") % 2).cast("double").alias("y"),
+        F.col("id").cast("double").alias("a"),
+        (F.col("id") % 2).cast("double").alias("b"),
+        F.lit(1.0).alias("c"),
+    )
+    df = fe.assemble(df, ["a", "b", "c"])
+    assert fe.select_features(df, 1, "y").getIndices() == [1]
+    assert fe.select_features(df, 2, "y").getIndices() == [0, 1]
 
 
 def test_word_vectors_do_not_follow_from_the_partitioning(spark):
