@@ -421,9 +421,9 @@ dist AS (
   FROM eb a, centres b)"""
 
 
-def signatures(source: str, name: str) -> str:
+def signatures(source: str, name: str, n: int = 5) -> str:
     values = " UNION ALL ".join(
-        f"SELECT {i} AS band, {a} AS a, {b} AS b" for i, (a, b) in enumerate(hash_coefficients(5))
+        f"SELECT {i} AS band, {a} AS a, {b} AS b" for i, (a, b) in enumerate(hash_coefficients(n))
     )
     return (
         f"{name} AS (SELECT id, band, min(((1 + t) * a + b) % {PRIME}) AS h FROM "
@@ -470,11 +470,71 @@ scores AS (
     )
 
 
-def isotonic_sql() -> str:
+def ridge_blocks(reg: float) -> list[str]:
+    """``beta(pos, b)`` of a ridge regression by its normal equations: covariances of the training
+    rows, a penalty in proportion to each variance, and elimination of one feature after another."""
+    n = len(FEATURE_NAMES)
+    steps = [
+        f"""s{k + 1} AS MATERIALIZED (
+  SELECT a.i, a.j, CASE WHEN p.v = 0 THEN a.v WHEN a.i = {k} THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v
+  FROM s{k} a JOIN s{k} c ON c.i = a.i AND c.j = {k} JOIN s{k} r ON r.i = {k} AND r.j = a.j
+  JOIN s{k} p ON p.i = {k} AND p.j = {k})"""
+        for k in range(n)
+    ]
+    return [
+        *features(),
+        FEATURE_ROWS,
+        f"tr AS MATERIALIZED (SELECT *, {share('pair_id')} < 0.6 AS training FROM fr)",
+        "mom AS (SELECT pos, avg(x) AS m FROM tr WHERE training GROUP BY pos)",
+        "lab AS (SELECT avg(relevance) AS m, stddev_pop(relevance) AS sd FROM tr WHERE training AND pos = 0)",
+        f"""cov AS (
+  SELECT a.pos AS i, b.pos AS j, covar_pop(a.x, b.x) AS v FROM tr a JOIN tr b USING (pair_id)
+  WHERE a.training GROUP BY a.pos, b.pos
+  UNION ALL SELECT pos, {n}, covar_pop(x, relevance) FROM tr WHERE training GROUP BY pos)""",
+        f"s0 AS MATERIALIZED (SELECT i, j, CASE WHEN i = j THEN v * (1 + {reg} / lab.sd) ELSE v END AS v FROM cov, lab)",
+        *steps,
+        f"beta AS (SELECT i AS pos, v AS b FROM s{n} WHERE j = {n})",
+    ]
+
+
+def ridge_sql(reg: float) -> str:
+    return with_(
+        ridge_blocks(reg),
+        "SELECT pair_id, any_value(relevance) AS relevance, round(any_value(lab.m) + sum((x - mom.m) * b), 6) "
+        "AS prediction FROM tr JOIN mom USING (pos) JOIN beta USING (pos), lab WHERE NOT training GROUP BY pair_id",
+    )
+
+
+def selected_sql(scores: list[str]) -> str:
+    """The five features of highest ``scores(feature, score)``, in their order."""
+    return with_(
+        [*features(), FEATURE_ROWS, *scores,
+         "places AS (SELECT DISTINCT feature, pos AS place FROM fr)",
+         "best AS (SELECT feature, place FROM scores JOIN places USING (feature) "
+         "ORDER BY score DESC NULLS LAST, place LIMIT 5)",
+         "kept AS (SELECT feature, row_number() OVER (ORDER BY place) - 1 AS pos FROM best)"],
+        "SELECT pair_id, CAST(kept.pos AS BIGINT) AS pos, round(x, 6) AS x FROM fr JOIN kept USING (feature)",
+    )
+
+
+CHI2 = [
+    "o AS (SELECT feature, x, relevance AS c, count(*)::DOUBLE AS n FROM fr GROUP BY feature, x, relevance)",
+    "rx AS (SELECT feature, x, sum(n) AS n FROM o GROUP BY feature, x)",
+    "cx AS (SELECT feature, c, sum(n) AS n FROM o GROUP BY feature, c)",
+    "tx AS (SELECT feature, sum(n) AS n FROM o GROUP BY feature)",
+    "grid AS (SELECT rx.feature, rx.x, cx.c, rx.n * cx.n / tx.n AS e FROM rx JOIN cx USING (feature) "
+    "JOIN tx USING (feature))",
+    """chi2 AS (
+  SELECT feature, sum((coalesce(o.n, 0) - e) * (coalesce(o.n, 0) - e) / e) AS statistic,
+         CAST((count(DISTINCT grid.x) - 1) * (count(DISTINCT grid.c) - 1) AS BIGINT) AS dof
+  FROM grid LEFT JOIN o USING (feature, x, c) GROUP BY feature)""",
+]
+
+
+def isotonic_blocks() -> list[str]:
     """The least-squares rising fit at a point is the largest, over starts before it, of the
     smallest, over ends after it, mean of the labels between start and end."""
-    return with_(
-        [
+    return [
             *features(),
             f"tr AS (SELECT pair_id, relevance, product_title_len AS x FROM feat WHERE {share('pair_id')} < 0.6)",
             """pts AS (SELECT x, sum(relevance) AS s, count(*) AS n,
@@ -484,10 +544,7 @@ means AS (SELECT a.i AS j, b.i AS k, (b.cs - a.cs + a.s) / (b.cn - a.cn + a.n) A
   FROM cum a JOIN cum b ON a.i <= b.i),
 low AS (SELECT j, k AS i, min(m) OVER (PARTITION BY j ORDER BY k DESC) AS m FROM means),
 fit AS (SELECT i, max(m) AS prediction FROM low GROUP BY i)""",
-        ],
-        "SELECT pair_id, relevance, round(prediction, 6) AS prediction FROM tr JOIN pts USING (x) "
-        "JOIN fit USING (i)",
-    )
+    ]
 
 
 def embedded(source: str, id_: str, col: str, name: str) -> str:
@@ -591,6 +648,25 @@ def oracle_sql() -> dict[str, str]:
             [*SETS, jaccard_rows("sa", "sb")],
             "SELECT id_a, id_b, round(distance, 6) AS distance FROM jaccards WHERE distance < 0.95",
         ),
+        "jaccard_join_close": with_(
+            [*SETS, jaccard_rows("sa", "sa")],
+            "SELECT id_a, id_b, round(distance, 6) AS distance FROM jaccards WHERE distance < 0.3",
+        ),
+        "jaccard_join_banded": with_(
+            [*SETS, jaccard_rows("sa", "sa"), signatures("sa", "ha", 10),
+             "hb AS (SELECT id, band // 2 AS band, string_agg(CAST(h AS VARCHAR), ',' ORDER BY band) AS h "
+             "FROM ha GROUP BY id, band // 2)",
+             "cand AS (SELECT DISTINCT x.id AS id_a, y.id AS id_b FROM hb x JOIN hb y USING (band, h))"],
+            "SELECT id_a, id_b, round(distance, 6) AS distance FROM jaccards JOIN cand USING (id_a, id_b) "
+            "WHERE distance < 0.3",
+        ),
+        "euclidean_join_close": f"WITH {CENTRES}, ba AS ({dot_rows('eb', 'v', 32, 0.125)}), "
+        "bt AS (SELECT id, band // 4 AS band, string_agg(CAST(bucket AS VARCHAR), ',' ORDER BY band) AS bucket "
+        "FROM ba GROUP BY id, band // 4), "
+        "cand AS (SELECT DISTINCT x.id AS id_a, y.id AS id_b FROM bt x JOIN bt y USING (band, bucket)) "
+        "SELECT id_a, id_b, round(distance, 6) AS distance FROM (SELECT id_a, id_b, "
+        "sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance "
+        "FROM cand JOIN eb a ON a.id = id_a JOIN eb b ON b.id = id_b) WHERE distance < 1.2",
         "euclidean_own_pairs": f"WITH {VECTOR_PAIRS} SELECT pair_id AS id_a, pair_id AS id_b, "
         "round(euclidean, 6) AS distance FROM vs WHERE euclidean < 1.4",
         "euclidean_join": f"WITH {CENTRES}, ba AS ({dot_rows('eb', 'v', 3, 2.0)}), "
@@ -660,10 +736,9 @@ def oracle_sql() -> dict[str, str]:
             "FROM w LEFT JOIN a USING (pair_id) LEFT JOIN b USING (pair_id) LEFT JOIN c USING (pair_id)",
         ),
         "phrase_hits": with_(
-            [DESCRIPTIONS],
-            "SELECT d.doc_id AS product_uid, CASE WHEN lang = '' OR text = '' THEN 0 ELSE "
-            "CAST(contains(lower(text), lang) AS BIGINT) + CAST(contains(product_description, lang) AS BIGINT) END "
-            "AS hits FROM documents d JOIN descriptions s ON s.product_uid = d.doc_id",
+            pair_words(),
+            "SELECT pair_id, CASE WHEN query = '' OR title = '' THEN 0 ELSE "
+            "CAST(contains(title, query) AS BIGINT) + CAST(contains(descr, query) AS BIGINT) END AS hits FROM cleaned",
         ),
         "overlap_feature_frame": with_(
             feat,
@@ -736,16 +811,7 @@ def oracle_sql() -> dict[str, str]:
             "round(x / sum(abs(x)) OVER (PARTITION BY pair_id), 6) AS x FROM fr",
         ),
         "chi2_scores": with_(
-            [*feat, FEATURE_ROWS,
-             "o AS (SELECT feature, x, relevance AS c, count(*)::DOUBLE AS n FROM fr GROUP BY feature, x, relevance)",
-             "rx AS (SELECT feature, x, sum(n) AS n FROM o GROUP BY feature, x)",
-             "cx AS (SELECT feature, c, sum(n) AS n FROM o GROUP BY feature, c)",
-             "tx AS (SELECT feature, sum(n) AS n FROM o GROUP BY feature)",
-             "grid AS (SELECT rx.feature, rx.x, cx.c, rx.n * cx.n / tx.n AS e FROM rx JOIN cx USING (feature) "
-             "JOIN tx USING (feature))"],
-            "SELECT feature, round(sum((coalesce(o.n, 0) - e) * (coalesce(o.n, 0) - e) / e), 6) AS statistic, "
-            "CAST((count(DISTINCT grid.x) - 1) * (count(DISTINCT grid.c) - 1) AS BIGINT) AS dof "
-            "FROM grid LEFT JOIN o USING (feature, x, c) GROUP BY feature",
+            [*feat, FEATURE_ROWS, *CHI2], "SELECT feature, round(statistic, 6) AS statistic, dof FROM chi2"
         ),
         "label_index": "WITH r AS (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS n "
         "FROM part GROUP BY p_brand) SELECT p_partkey, p_brand, CAST(n AS DOUBLE) AS number, p_brand AS name "
@@ -758,7 +824,34 @@ def oracle_sql() -> dict[str, str]:
         "CAST(si.pos AS DOUBLE) AS status, l_quantity AS kept FROM lineitem "
         "JOIN fi ON fi.v = ascii(l_returnflag) JOIN si ON si.v = ascii(l_linestatus)",
         "naive_bayes": naive_bayes_sql(),
-        "isotonic": isotonic_sql(),
+        "isotonic": with_(
+            isotonic_blocks(),
+            "SELECT pair_id, relevance, round(prediction, 6) AS prediction FROM tr JOIN pts USING (x) "
+            "JOIN fit USING (i)",
+        ),
+        "isotonic_boundaries": with_(
+            isotonic_blocks(),
+            'SELECT round(prediction, 6) AS prediction, min(x) AS "first", max(x) AS "last" '
+            "FROM pts JOIN fit USING (i) GROUP BY round(prediction, 6)",
+        ),
+        "linear": ridge_sql(0.1),
+        "glm": ridge_sql(0.3),
+        "linear_coefficients": with_(
+            [*ridge_blocks(0.1), "names AS (SELECT DISTINCT pos, feature FROM fr)"],
+            "SELECT feature, round(b, 6) AS coefficient FROM beta JOIN names USING (pos) UNION ALL "
+            "SELECT '(intercept)', round(any_value(lab.m) - sum(b * mom.m), 6) FROM beta JOIN mom USING (pos), lab",
+        ),
+        "select_features": selected_sql(
+            [*CHI2,
+             "scores AS (SELECT feature, CASE WHEN dof > 0 THEN (pow(greatest(statistic, 0) / dof, 1.0::DOUBLE / 3) "
+             "- (1 - 2.0::DOUBLE / (9 * dof))) / sqrt(2.0::DOUBLE / (9 * dof)) END AS score FROM chi2)"]
+        ),
+        "select_features_f": selected_sql(
+            ["scores AS (SELECT feature, abs(corr(x, relevance)) AS score FROM fr GROUP BY feature)"]
+        ),
+        "word2vec_words": with_(
+            stemmed_counts(["title"]), "SELECT DISTINCT stem AS word, 100::BIGINT AS size FROM stems"
+        ),
         "confusion_flags": with_(
             JUDGED_HIGH,
             "SELECT pair_id, CAST(prediction AS BIGINT) AS prediction, CAST(relevance AS BIGINT) AS relevance, "

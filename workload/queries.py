@@ -242,6 +242,32 @@ def jaccard_join_exact(spark, d):
     ).select("id_a", "id_b", r6("distance", "distance"))
 
 
+@query
+def jaccard_join_close(spark, d):
+    """Documents against documents at a distance for which prefixes filter."""
+    words = kept_doc_words(spark, d)
+    return sj.jaccard_join_exact(words, words, "doc_id", "words", 0.3).select(
+        "id_a", "id_b", r6("distance", "distance")
+    )
+
+
+@query
+def jaccard_join_banded(spark, d):
+    words = kept_doc_words(spark, d)
+    return sj.jaccard_join(words, words, "doc_id", "words", 0.3, hashes=10, bands=5).select(
+        "id_a", "id_b", r6("distance", "distance")
+    )
+
+
+@query
+def euclidean_join_close(spark, d):
+    """Vectors against vectors, by buckets short enough to tell most pairs apart."""
+    e = so.read_table(spark, d, "embeddings")
+    return sj.euclidean_join(
+        e, e, "vec_id", "embedding", wt.DIM, 1.2, bucket_length=0.125, tables=8, per_table=4
+    ).select("id_a", "id_b", r6("distance", "distance"))
+
+
 @query
 def euclidean_own_pairs(spark, d):
     v = wt.vector_pairs(spark, d)
@@ -425,12 +451,9 @@ def common_terms(spark, d):
 
 @query
 def phrase_hits(spark, d):
-    documents = wt.documents(spark, d).select(
-        F.col("doc_id").alias("product_uid"), "lang", F.lower("text").alias("title")
-    )
-    described = documents.join(wt.descriptions(spark, d), "product_uid")
-    hits = tx.phrase_hits("lang", "title", F.col("product_description"))
-    return described.select("product_uid", big(hits, "hits"))
+    fields = ["search_term", "product_title", "product_description"]
+    cleaned = tx.clean_text(tx.lower_all(wt.pairs(spark, d), fields), fields, "bare")
+    return cleaned.select("pair_id", big(tx.phrase_hits(*fields), "hits"))
 
 
 @query
@@ -565,6 +588,14 @@ def word2vec(spark, d):
     return vectors.select("word", r6(F.get(vector_to_array("vector"), F.lit(0)), "first"))
 
 
+@query
+def word2vec_words(spark, d):
+    """Which words have a vector, and of what length."""
+    words = so.cut_lineage(pair_words(spark, d, "porter"))
+    vectors = fe.fit_word2vec(words, "title").getVectors()
+    return vectors.select("word", big(F.size(vector_to_array("vector")), "size"))
+
+
 @query
 def embed_tokens(spark, d):
     words = so.cut_lineage(pair_words(spark, d, "porter"))
@@ -650,20 +681,19 @@ def chi2_scores(spark, d):
 
 @query
 def select_features(spark, d):
-    f = _scalar_frame(spark, d)
-    selected = fe.select_features(f, 5, "relevance").transform(f)
-    return selected.select(
-        "pair_id", F.posexplode(vector_to_array("selected_features")).alias("pos", "x")
-    )
+    return _selected(_scalar_frame(spark, d), "chi2")
 
 
 @query
 def select_features_f(spark, d):
-    f = _scalar_frame(spark, d)
-    selected = fe.select_features(f, 5, "relevance", method="f").transform(f)
+    return _selected(_scalar_frame(spark, d), "f")
+
+
+def _selected(f: DataFrame, method: str) -> DataFrame:
+    selected = fe.select_features(f, 5, "relevance", method=method).transform(f)
     return selected.select(
         "pair_id", F.posexplode(vector_to_array("selected_features")).alias("pos", "x")
-    )
+    ).select("pair_id", big("pos", "pos"), r6("x", "x"))
 
 
 @query
@@ -743,12 +773,19 @@ def _regressed(spark, d, kind, **params):
 
 @query
 def linear(spark, d):
-    return _regressed(spark, d, "linear")
+    return _regressed(spark, d, "linear").withColumn("prediction", r6("prediction", "prediction"))
+
+
+@query
+def linear_coefficients(spark, d):
+    train_df, _ = _scalar_frames(spark, d)
+    fitted = mo.coefficients(mo.train(train_df, "linear", label="relevance"), OVERLAP_FEATURES)
+    return fitted.select("feature", r6("coefficient", "coefficient"))
 
 
 @query
 def glm(spark, d):
-    return _regressed(spark, d, "glm")
+    return _regressed(spark, d, "glm").withColumn("prediction", r6("prediction", "prediction"))
 
 
 @query
@@ -775,6 +812,15 @@ def isotonic(spark, d):
     )
 
 
+@query
+def isotonic_boundaries(spark, d):
+    """Where each level of the fit begins and ends."""
+    train_df, _ = _scalar_frames(spark, d)
+    fitted = mo.isotonic_boundaries(mo.train(train_df, "isotonic", label="relevance"))
+    levels = fitted.select("boundary", r6("prediction", "prediction")).groupBy("prediction")
+    return levels.agg(F.min("boundary").alias("first"), F.max("boundary").alias("last"))
+
+
 @query
 def importances(spark, d):
     train_df, _ = _scalar_frames(spark, d)
@@ -858,6 +904,11 @@ def match_by_cosine(spark, d):
     return _rounded(match.match_by_cosine(embedded_pairs(spark, d), 0.6))
 
 
+@query
+def match_words_by_cosine(spark, d):
+    return _rounded(match.match_words_by_cosine(wt.pairs(spark, d)))
+
+
 @query
 def match_by_jaccard(spark, d):
     return _rounded(match.match_by_jaccard(wt.pairs(spark, d)))
