@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .worker import held
+
 VOCABULARY = "byte_bpe_50k.json"
 KNOWN_PIECES = 250_000  # pieces of text that a worker remembers with their tokens, twice
 STEP = 1 << 12  # bytes that the transducer reads at a time
@@ -232,10 +234,9 @@ class Tokenizer:
         return "".join(out)
 
 
-@lru_cache(1)
 def tokenizer_of(name: str) -> Tokenizer:
     """One for all tasks of a worker."""
-    return Tokenizer(name)
+    return held(("bpe", name), lambda: Tokenizer(name))
 
 
 def encode(df: DataFrame, text: str = "text", name: str = VOCABULARY, digests: bool = False) -> DataFrame:
@@ -246,7 +247,8 @@ def encode(df: DataFrame, text: str = "text", name: str = VOCABULARY, digests: b
     replaced.
     """
     kept = [c for c in df.columns if c != "tokens"]
-    row = df.select(F.struct(*kept).alias("_row"), F.col(text).alias("_text"))
+    # the text moves to Python once, inside its row
+    row, at = df.select(F.struct(*kept).alias("_row")), kept.index(text)
     if digests:
         out = T._parse_datatype_string("n_tokens long, ids_sha256 string, decoded_sha256 string")
     else:
@@ -261,7 +263,7 @@ def encode(df: DataFrame, text: str = "text", name: str = VOCABULARY, digests: b
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(name)
         for batch in batches:
-            found = [_answer(tokenizer, t.as_py() or "", digests) for t in batch[1]]
+            found = [_answer(tokenizer, t.as_py() or "", digests) for t in batch[0].field(at)]
             columns = list(zip(*found)) or [[] for _ in out]
             kinds = [pa.int64(), pa.string(), pa.string()] if digests else [pa.list_(pa.int32()), pa.string()]
             answer = pa.StructArray.from_arrays(

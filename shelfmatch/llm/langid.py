@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .worker import held
+
 VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"  # fixed value: how the vocabulary marks the beginning of a word
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 300  # texts a language is learnt from
 ROUNDS = 2  # of expectation and maximisation
-KNOWN_WORDS = 500_000  # words a worker remembers with their scores
+KNOWN_WORDS = 250_000  # words a worker remembers with their scores
 STRANGER = 1e-7  # probability of a character that the vocabulary lacks, in any language
 SMOOTHING = 0.01  # added to the expected count of each piece
 SPAN = 64  # words beyond this many characters are scored in parts
@@ -232,15 +234,9 @@ class Scorer(dict):
         return self.languages[best], float(1.0 / np.exp(np.minimum(scores - scores[best], 0)).sum())
 
 
-_scorers: dict[str, Scorer] = {}  # of this worker, by model: the last one
-
-
 def scorer_of(model_id: str, model: tuple) -> Scorer:
     """One for all tasks of a worker that use the same model."""
-    if model_id not in _scorers:
-        _scorers.clear()
-        _scorers[model_id] = Scorer(*model)
-    return _scorers[model_id]
+    return held(model_id, lambda: Scorer(*model))
 
 
 def predict(
@@ -255,7 +251,8 @@ def predict(
     shared = df.sparkSession.sparkContext.broadcast((*model, name))
     model_id = uuid.uuid4().hex
     kept = [c for c in df.columns if c != "language"]
-    row = df.select(F.struct(*kept).alias("_row"), F.col(text).alias("_text"))
+    # the text moves to Python once, inside its row
+    row, at = df.select(F.struct(*kept).alias("_row")), kept.index(text)
     row_type = T.StructType([f for f in df.schema if f.name in kept])
     schema = T.StructType(
         [
@@ -273,8 +270,9 @@ def predict(
         scorer = scorer_of(model_id, shared.value)
         for batch in batches:
             found = []
-            for at in range(0, batch.num_rows, TEXTS):
-                found += scorer.texts(batch[1].slice(at, TEXTS).to_pylist())
+            texts = batch[0].field(at)
+            for first in range(0, len(texts), TEXTS):
+                found += scorer.texts(texts.slice(first, TEXTS).to_pylist())
             answer = pa.StructArray.from_arrays(
                 [
                     pa.array([x[0] for x in found], pa.string()),

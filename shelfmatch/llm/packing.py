@@ -14,7 +14,6 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -24,12 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .kept import keep
+from .worker import held
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 2  # id after each document
 GROUP_ROWS = 2000  # pieces packed together: enough that the last windows hardly count
-KNOWN_WORDS = 400_000  # words a worker remembers with their ids, twice
+KNOWN_WORDS = 200_000  # words a worker remembers with their ids, twice
 # the vocabulary cuts between a letter and such a mark, so that a space there changes nothing
 _MARK = re.compile(r"(?<=[A-Za-z])(?=[.,]+(?: |$))")
 
@@ -63,10 +63,9 @@ class KnownWords(dict):
         return out
 
 
-@lru_cache(1)
 def known_words(name: str) -> KnownWords:
     """One for all tasks of a worker."""
-    return KnownWords(name)
+    return held(("packing", name), lambda: KnownWords(name))
 
 
 def _pack(ids: list[int]) -> bytes:
