@@ -58,7 +58,8 @@ class Block:
             return np.flatnonzero(fits)
         step = self.lengths[level] - self.lengths[level - 1]
         shifted = np.zeros(len(fits), bool)
-        shifted[: len(fits) - step] = repeated[step:]
+        end = max(0, len(fits) - step)  # a block can hold fewer words than the step
+        shifted[:end] = repeated[step : step + end]
         return np.flatnonzero(fits & repeated & shifted)
 
     def window_hashes(self, level: int, places: np.ndarray, seed: int = 0) -> np.ndarray:

@@ -65,6 +65,22 @@ def test_substrings_equal_brute_force(docs):
         assert got[r.doc_id]._row is not None and got[r.doc_id]._block == "b"
 
 
+def test_substrings_in_blocks_of_few_words(spark):
+    words = [f"w{i}" for i in range(21)]
+    rows = [(n, " ".join(words[:n])) for n in range(22)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        got = by_id(substrings.remove_repeats(docs))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert len(got) == 22
+    for n, text in rows:  # the 20 words of row 20 begin row 21 as well
+        kept = "w20" if n == 21 else text
+        assert tuple(got[n].repeats) == (n, 20 if n == 21 else 0, kept)
+
+
 @pytest.mark.parametrize("frequent", [6, 2])
 def test_jaccard_components_equal_brute_force(docs, monkeypatch, frequent):
     monkeypatch.setattr(jaccard, "FREQUENT", frequent)
