@@ -7,6 +7,7 @@ left to right. A text is as likely as its words together.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ KNOWN_WORDS = 250_000  # words a worker remembers with their scores
 STRANGER = 1e-7  # probability of a character that the vocabulary lacks, in any language
 SMOOTHING = 0.01  # added to the expected count of each piece
 SPAN = 64  # words beyond this many characters are scored in parts
-TINY = 1e-320  # instead of a probability too small for a float
+FAINT = 1e-250  # words less likely than this are summed again by logarithms; what sums have lost by then is smaller
 NEW_WORDS = 5000  # scored at once
 TEXTS = 64  # read before new words are scored
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -98,9 +99,32 @@ def expected(found: list[tuple[int, int, int]], column: list[float]) -> list[tup
     for start, end, index in reversed(found):
         back[start] += column[index] * back[end]
     total = front[-1]
+    if total < FAINT:
+        return _expected_by_logs(found, column)
     return [(index, front[start] * column[index] * back[end] / total) for start, end, index in found]
 
 
+def _log_add(a: float, b: float) -> float:
+    high, low = max(a, b), min(a, b)
+    return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+
+def _expected_by_logs(found: list[tuple[int, int, int]], column: list[float]) -> list[tuple[int, float]]:
+    n = found[-1][1] + 1
+    front, back = [-math.inf] * n, [-math.inf] * n
+    front[0] = back[-1] = 0.0
+    logs = [math.log(column[index]) for _, _, index in found]
+    for (start, end, _), log in zip(found, logs):
+        front[end] = _log_add(front[end], front[start] + log)
+    for (start, end, _), log in zip(reversed(found), reversed(logs)):
+        back[start] = _log_add(back[start], log + back[end])
+    total = front[-1]
+    return [
+        (index, math.exp(front[start] + log + back[end] - total))
+        for (start, end, index), log in zip(found, logs)
+    ]
+
+
 def _table(probabilities: np.ndarray) -> np.ndarray:
     """One more row at the end, which index -1 reads."""
     return np.vstack([probabilities, np.full(probabilities.shape[1], STRANGER)])
@@ -194,26 +218,43 @@ class Scorer(dict):
 
     def learn_words(self, words: list[str]) -> None:
         """Log-probabilities of new words, all words at once: one step for each place in a word."""
+        total = self._totals(words, logs=False)
+        faint = np.flatnonzero((total < FAINT).any(1))
+        with np.errstate(divide="ignore"):
+            total = np.log(total)
+        if len(faint):
+            total[faint] = self._totals([words[i] for i in faint], logs=True)
+        at = len(self)
+        while at + len(words) > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        self.scores[at : at + len(words)] = total
+        self.update(zip(words, range(at, at + len(words))))
+
+    def _totals(self, words: list[str], logs: bool) -> np.ndarray:
+        """Probabilities of words, a column each language, or their logarithms, which no word makes too small."""
         spans_of = [spans(w, self.automaton) for w in words]
         flat = np.array([s for found in spans_of for s in found], np.int64).reshape(-1, 3)
         word = np.repeat(np.arange(len(words)), [len(found) for found in spans_of])
         order = np.lexsort((word, flat[:, 1]))
         word, (start, end, index) = word[order], flat[order].T
-        # SPAN bounds the length, so that sums stay above zero
+        # SPAN bounds the length, so that the sums fit into memory
         sums = np.zeros((int(end.max()) + 1, len(words), len(self.languages)))
-        sums[0] = 1.0
+        sums[0] = 0.0 if logs else 1.0
+        full = np.log(self.full) if logs else self.full
         cuts = np.searchsorted(end, np.arange(1, len(sums) + 1))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            step = sums[start[a:b], word[a:b]] * self.full[index[a:b]]
+            before = sums[start[a:b], word[a:b]]
+            step = before + full[index[a:b]] if logs else before * full[index[a:b]]
             first = np.flatnonzero(np.diff(word[a:b], prepend=-1))
-            sums[end[a], word[a:b][first]] = np.add.reduceat(step, first, axis=0)
+            if logs:
+                high = np.maximum.reduceat(step, first, axis=0)
+                step = np.exp(step - np.repeat(high, np.diff(first, append=len(step)), axis=0))
+                found = high + np.log(np.add.reduceat(step, first, axis=0))
+            else:
+                found = np.add.reduceat(step, first, axis=0)
+            sums[end[a], word[a:b][first]] = found
         last = np.array([len(WORD_START + w) for w in words])
-        total = np.log(np.maximum(sums[last, np.arange(len(words))], TINY))
-        at = len(self)
-        while at + len(words) > len(self.scores):
-            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-        self.scores[at : at + len(words)] = total
-        self.update(zip(words, range(at, at + len(words))))
+        return sums[last, np.arange(len(words))]
 
     def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Language and its posterior probability, all languages being as likely before."""

@@ -319,6 +319,31 @@ def test_language_spans_and_sums():
         assert len(langid.spans(word, automaton))
 
 
+def test_language_of_long_words_outside_the_vocabulary(spark):
+    pieces = langid.vocabulary()
+    strange = [c for c in map(chr, range(0x1000, 0x1800)) if c.isalpha() and c not in pieces][:20]
+    words = [(strange * 4)[i : i + langid.SPAN] for i in range(10)]
+    lao, other = ("".join(w) + " " for w in words[:2])
+    rows = [(i, "b", f"{lao} and") for i in range(5)] + [(9 + i, "a", f"{other} oder und die") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    languages, table = langid.learn(docs)
+    # every character counts once, the word's beginning as well
+    found = langid.spans(lao.strip(), langid._automaton(langid.VOCABULARY))
+    uses = langid.expected(found, langid._table(table)[:, 0].tolist())
+    assert np.isclose(sum(u for i, u in uses if i < 0), langid.SPAN)
+    scorer = langid.Scorer(languages, table, langid.VOCABULARY)
+    scorer.learn_words([lao.strip(), "q" + lao.strip()[1:], "and"])
+    begin = np.log(table[pieces[langid.WORD_START]])
+    assert np.allclose(scorer.scores[0], begin + langid.SPAN * np.log(langid.STRANGER))
+    assert (scorer.scores[1] != scorer.scores[0]).all()
+    # the word's beginning is more likely where more words consist of it
+    got = langid.predict(docs, (languages, table)).select("lang", "language.*").collect()
+    assert all(r.lang == r.lang_pred for r in got)
+    alone = langid.predict(docs.withColumn("text", F.lit(lao)), (languages, table)).collect()
+    assert {r.language.lang_pred for r in alone} == {languages[int(begin.argmax())]}
+    assert languages[int(begin.argmax())] == "b"
+
+
 def test_language_query(spark, data):
     got = queries.op1_language_id(spark, data)
     docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang")
