@@ -1,13 +1,15 @@
 """SimHash fingerprints of texts, their likeness, and search within a Hamming radius.
 
 Terms are shingles of five words; each occurrence votes, by the bits of its hash, on the bits of
-the fingerprint. Two fingerprints within the radius agree in one of more blocks than the radius has
-bits, so that a table per block, led by that block, holds all pairs there are.
+the fingerprint. The radius follows from the similarity of texts that are to be found. So many bits
+are too many for tables by parts of the fingerprint: each fingerprint asked about is compared with
+all, in groups, without a row for a pair.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .blocks import partitions
 from .kept import keep
@@ -22,7 +25,10 @@ from .words import mix, split_words, windows
 
 BITS = 256
 SHINGLE = 5
-RADIUS = 7  # with 8 blocks of 32 bits
+SIMILARITY = 0.8  # Jaccard similarity of the sets of terms of near copies
+DEVIATIONS = 2  # of the number of bits that differ: at least 97 of 100 pairs at just that similarity are found
+PACKS = 16  # groups of the fingerprints asked about
+_ASKED, _HELD = 16, 4096  # compared at once, so that the steps stay in a core's cache
 _ROWS = 64  # votes added as bytes before they are widened
 _LANES = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64) for i in range(BITS // 64)]
 RESULT = (
@@ -31,6 +37,15 @@ RESULT = (
 )
 
 
+def radius_of(similarity: float, deviations: float = DEVIATIONS) -> int:
+    """Bits by which texts of such a similarity differ, those of equally many terms."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(BITS * share + deviations * math.sqrt(BITS * share * (1 - share)))
+
+
+RADIUS = radius_of(SIMILARITY)
+
+
 def terms(texts: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all terms, and where those of each text begin.
 
@@ -177,30 +192,63 @@ def near_counts(
 ) -> DataFrame:
     """For each fingerprint of ``queries`` the number of rows of ``prints`` within the radius.
 
-    Equal fingerprints are one class. A pair is counted in the first table where it meets. All
-    classes are found, whatever the size of a block's bucket; adaptive execution splits hot ones.
+    Equal fingerprints are one class. All classes are found: they are dealt to as many groups as
+    partitions, and each group sees all fingerprints asked about, packed into few rows. Near a text
+    without terms are only other such texts.
     """
-    blocks = radius + 1
-    while BITS // 4 % blocks:
-        blocks += 1
-    width = BITS // 4 // blocks  # hex digits
-    block = lambda c, i: F.substring(c, 1 + width * i, width)
-    longs = lambda c: [F.conv(F.substring(c, 1 + 16 * i, 16), 16, -10).cast("long") for i in range(BITS // 64)]
-    tables = F.array(*[F.lit(i) for i in range(blocks)])
-
-    def led(df: DataFrame, name: str) -> DataFrame:
-        t = F.explode(tables).alias("table")
-        rows = df.select("*", t)
-        leading = F.expr(f"substring({name}, 1 + {width} * table, {width})")
-        return rows.withColumn("lead", leading)
-
-    classes = prints.groupBy(F.col(fingerprint).alias("b")).agg(F.count("*").alias("n"))
-    classes = classes.select("b", "n", F.array(*longs("b")).alias("bb"))
-    asked = queries.select(F.col(fingerprint).alias("a")).distinct()
-    asked = asked.select("a", F.array(*longs("a")).alias("aa"))
-    apart = sum(F.bit_count(F.col("aa")[i].bitwiseXOR(F.col("bb")[i])) for i in range(BITS // 64))
-    first = F.lit(True)
-    for i in range(blocks):
-        first &= (F.col("table") <= i) | (block("a", i) != block("b", i))
-    met = led(asked, "a").join(led(classes, "b"), ["table", "lead"]).where((apart <= radius) & first)
-    return met.groupBy(F.col("a").alias(fingerprint)).agg(F.sum("n").alias("n_near"))
+    groups = partitions(prints.sparkSession)
+    bytes_ = F.unhex(fingerprint).alias("print")
+    dealt = lambda n: F.pmod(F.xxhash64("print"), F.lit(n)).cast("int")
+    classes = prints.groupBy(bytes_).agg(F.count("*").alias("n")).withColumn("_group", dealt(groups))
+    asked = queries.select(bytes_).distinct().withColumn("_pack", dealt(PACKS))
+    packs = asked.groupBy("_pack").applyInArrow(_packed, "prints binary")
+    packs = packs.withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+
+    def count(held: pa.Table, packs: pa.Table) -> pa.Table:
+        prints, n = _longs(held["print"].to_pylist()), held["n"].to_numpy()
+        asked = _longs(packs["prints"].to_pylist())
+        found = _count_near(asked, prints, n, radius) if len(prints) else np.zeros(len(asked), np.int64)
+        some = np.flatnonzero(found)
+        return pa.table(
+            {
+                fingerprint: pa.array([asked[i].tobytes().hex() for i in some], pa.string()),
+                "n": pa.array(found[some], pa.int64()),
+            }
+        )
+
+    met = classes.groupBy("_group").cogroup(packs.groupBy("_group"))
+    met = met.applyInArrow(count, T.StructType().add(fingerprint, "string").add("n", "long"))
+    return met.groupBy(fingerprint).agg(F.sum("n").alias("n_near"))
+
+
+def _packed(table: pa.Table) -> pa.Table:
+    return pa.table({"prints": pa.array([b"".join(table["print"].to_pylist())], pa.binary())})
+
+
+def _longs(prints: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(prints), np.uint64).reshape(-1, BITS // 64)
+
+
+def _count_near(asked: np.ndarray, held: np.ndarray, n: np.ndarray, radius: int) -> np.ndarray:
+    """For each row asked about, the sum of n over the rows held within the radius."""
+    found = np.zeros(len(asked), np.int64)
+    for b in range(0, len(held), _HELD):
+        some = held[b : b + _HELD]
+        lanes = np.ascontiguousarray(some.T)
+        # used again and again: new memory would take longer than the arithmetic
+        bits, one, two = (np.empty((_ASKED, len(some)), t) for t in (np.uint64, np.uint8, np.uint8))
+        for a in range(0, len(asked), _ASKED):
+            rows = asked[a : a + _ASKED]
+            x, c, d = bits[: len(rows)], one[: len(rows)], two[: len(rows)]
+            # three quarters of the bits tell nearly all pairs apart
+            np.bitwise_count(np.bitwise_xor(rows[:, :1], lanes[0], out=x), out=c)
+            for lane in (1, 2):
+                np.bitwise_count(np.bitwise_xor(rows[:, lane : lane + 1], lanes[lane], out=x), out=d)
+                c += d
+            i, j = np.divmod(np.flatnonzero(c <= radius), len(some))
+            if not len(i):
+                continue
+            apart = np.bitwise_count(rows[i] ^ some[j]).sum(1, dtype=np.int64)
+            near = (apart <= radius) & (rows[i].any(1) == some[j].any(1))
+            np.add.at(found, a + i[near], n[b + j[near]])
+    return found

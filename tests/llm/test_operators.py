@@ -241,6 +241,34 @@ def test_simhash(docs):
         assert near[r.fingerprint] == want
 
 
+def test_simhash_finds_similar_texts(spark):
+    """Texts with a few words changed, against the similarity of their sets of five-word shingles."""
+    rng = random.Random(11)
+    make = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    texts = []
+    for _ in range(25):
+        base = make(rng.randint(150, 400))
+        for changes in (0, 1, 2, 3, 5):
+            copy = list(base)
+            for _ in range(changes):
+                copy[rng.randrange(len(copy))] = "other"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate([*texts, "", None])), "doc_id long, text string")
+    prints = simhash.compare_neighbours(docs)
+    near = {r.fingerprint: r.n_near for r in simhash.near_counts(prints, prints).collect()}
+    rows = by_id(prints)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split(" ") for t in texts)]
+    wanted = found = 0
+    for i, a in enumerate(sets):
+        like = [len(a & b) / len(a | b) for b in sets]
+        wanted += sum(x >= simhash.SIMILARITY for x in like)
+        got = near[rows[i].fingerprint]
+        assert got <= sum(x >= 0.5 for x in like)
+        found += min(got, sum(x >= simhash.SIMILARITY for x in like))
+    assert wanted > 300 and found >= 0.97 * wanted
+    assert near[rows[len(texts)].fingerprint] == 2  # texts without terms are near each other only
+
+
 def test_forest(spark):
     rng = np.random.default_rng(0)
     centre = rng.standard_normal((12, 16))
