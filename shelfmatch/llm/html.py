@@ -3,8 +3,9 @@
 The standard library's parser streams events; block elements cut the page into lines. Each line has
 a ratio of text to tags, which a Gaussian smooths over the neighbouring lines. Two clusters of the
 smoothed ratios give the threshold; a region of the page, that is the lines of one container, is
-content if one of its lines reaches it. Elements and classes that say they are navigation, notices,
-adverts, forms or comments are never content.
+content if one of its lines reaches it. What an article or the main element contains is one region,
+and so is content with it. Elements and classes that say they are navigation, notices, adverts, forms
+or comments are never content.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ _BLOCKS = frozenset(
     "table tbody td tfoot th thead tr ul".split()
 )
 _CONTAINERS = frozenset("article aside body div footer form header main nav section td".split())
+_WHOLE = frozenset(("article", "main"))
+_PAGE = frozenset(("article", "body", "html", "main"))  # their classes tell about the layout
 _NEVER = frozenset(
     "aside audio button canvas dialog embed fieldset footer form head header iframe input label math "
     "menu nav noscript object option script select style svg template textarea title video".split()
@@ -61,6 +64,7 @@ class Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, int]] = []  # text, in links, tags, container
         self.open: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, never content, container
         self.containers = 0
+        self.whole: dict[int, int] = {}  # articles and main elements, to the one around them or 0
         self.links = 0
         self._new()
 
@@ -90,14 +94,16 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in _VOID:
             return
-        if tag in ("main", "article"):
+        if tag in _WHOLE:
             while self.open[-1][1] and self.open[-1][0] in ("nav", "header", "footer", "aside", "ul", "li", "a", "form"):
-                self.open.pop()  # was never closed
+                self.links -= self.open.pop()[0] == "a"  # was never closed
         _, never, container = self.open[-1]
-        if tag in _CONTAINERS:
+        if tag in _WHOLE or (tag in _CONTAINERS and container not in self.whole):
             self.containers += 1
+            if tag in _WHOLE:
+                self.whole[self.containers] = container if container in self.whole else 0
             container = self.containers
-        self.open.append((tag, never or tag in _NEVER or _says_no(attrs), container))
+        self.open.append((tag, never or tag in _NEVER or _says_no(tag, attrs), container))
         self.links += tag == "a"
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -139,11 +145,11 @@ class Lines(HTMLParser):
         return self.lines
 
 
-def _says_no(attrs: list) -> bool:
+def _says_no(tag: str, attrs: list) -> bool:
     for name, value in attrs:
         value = (value or "").lower()
         if name in ("class", "id"):
-            if value and not _WORDS.isdisjoint(_NAME.findall(value)):
+            if value and tag not in _PAGE and not _WORDS.isdisjoint(_NAME.findall(value)):
                 return True
         elif name == "role":
             if value in _ROLES:
@@ -191,6 +197,9 @@ def main_text(html: str | None) -> str:
     ratio = smoothed([math.log1p(len(text) / max(1, tags)) for text, _, tags, _ in lines])
     border = threshold(ratio)
     content = {line[3] for line, r in zip(lines, ratio) if r >= border}
+    for inner, around in parser.whole.items():  # from the outside
+        if around and around in content:
+            content.add(inner)
     return "\n\n".join(line[0] for line in lines if line[3] in content)
 
 

@@ -312,6 +312,28 @@ def test_html():
     assert html.main_text("<nav>only</nav>") == ""
 
 
+def test_html_keeps_what_an_article_contains():
+    long = [f"{c} {'word ' * 80}".strip() for c in "abcdefgh"]
+    short = [f"only short line {i:04d}" for i in range(6)]
+    p = lambda texts: "".join(f"<p>{t}</p>" for t in texts)
+    for inner in ("section", "div", "table><tr><td"):
+        nested = f"<{inner}>{p(short)}" + ("</td></tr></table>" if "td" in inner else f"</{inner}>")
+        for around in ("article", "main"):
+            text = f"<h1>Title</h1>{p(long[:4])}{nested}{p(long[4:])}"
+            page = f"<body><div>menu</div><{around}>{text}</{around}><div>end</div></body>"
+            want = "\n\n".join(["Title", *long[:4], *short, *long[4:]])
+            assert html.main_text(page) == want
+    # marked as boilerplate inside an article
+    page = f"<article>{p(long)}<div class='related'>{p(long)}</div></article>"
+    assert html.main_text(page) == "\n\n".join(long)
+    # classes of the page's own elements are about its layout
+    for start in ("<body class='has-sidebar'><article class='no-sidebar'>", "<html id='menu'><body><main class=widget><article>"):
+        assert html.main_text(f"{start}{p(long)}</article>") == "\n\n".join(long)
+    # a link and a menu that were never closed
+    page = f"<body><nav><ul><li><a href=/>menu<article>{p(long)}</article></body>"
+    assert html.main_text(page) == "\n\n".join(long)
+
+
 def test_chat_layouts_and_round_trip(spark):
     odd = ["", "<s> <\\s> [INST] [\\INST] <\\\\/s> <|im_end|>\n", "a\\nb", None, "</s>[INST] ok [/INST]"]
     for t in odd:
