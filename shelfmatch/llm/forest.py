@@ -2,7 +2,9 @@
 
 Each tree cuts the vectors again and again by random directions, at the median; vectors close to a
 cut go to both sides. Vectors are compared with those in their leaves, by cosine in double
-precision. The trees are fitted on a bounded sample, all vectors are put into them.
+precision. The trees are fitted on a bounded sample, all vectors are put into them. There are as many
+trees as pairs at the similarity need to meet: that is tried with vectors of the sample and partners
+made at just that similarity, which are spread as the sample is.
 """
 
 from __future__ import annotations
@@ -19,7 +21,10 @@ from .components import components
 from .kept import keep
 
 SIMILARITY = 0.9
-TREES = 6
+RECALL = 0.9  # least share of the pairs at the similarity that meet in a leaf
+TREES = 6  # at least
+MOST_TREES = 24  # beyond that leaves get larger, up to one with all vectors
+TRIED_PAIRS = 1000
 SPILL = 0.05  # share of a node's vectors on either side of the cut that go to both sides
 LEAF_ROWS = 512
 SAMPLE_ROWS = 20_000
@@ -93,9 +98,13 @@ def near_vectors(
     leaf_rows: int = LEAF_ROWS,
     sample_rows: int = SAMPLE_ROWS,
     seed: int = 1,
+    recall: float = RECALL,
 ) -> DataFrame:
     """Key, n_links, component_id and kept, a row for each row of ``df``.
 
+    Of the pairs at the similarity a share of ``recall`` meets, more of the closer ones; ``trees`` and
+    ``leaf_rows`` are raised as far as that takes.
+
     Equal vectors are one class while they are compared. Vectors of different length, and those
     that aren't usable, link with nothing: such a row is its own component. A null key has null
     component and isn't kept. The other columns aren't read.
@@ -107,7 +116,7 @@ def near_vectors(
         good.groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("n")).select("rep", "n", F.size("v").alias("size"), "v")
     )
     total = classes.count()
-    forest = _fit(classes, total, trees, spill, leaf_rows, sample_rows, seed)
+    forest = _fit(classes, total, similarity, recall, trees, spill, leaf_rows, sample_rows, seed)
     found = keep(_compare(classes, forest, similarity))
     star = components(found.where("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
@@ -123,7 +132,7 @@ def near_vectors(
     return out.select(F.col("id").alias(key), "n_links", "component_id", kept)
 
 
-def _fit(classes, total, trees, spill, leaf_rows, sample_rows, seed) -> dict[int, list[Tree]]:
+def _fit(classes, total, similarity, recall, trees, spill, leaf_rows, sample_rows, seed) -> dict[int, list[Tree]]:
     """By vector length. The sample is chosen by a hash, as many rows as asked for, more or less."""
     share = min(1.0, sample_rows / max(1, total))
     chosen = F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1)
@@ -132,10 +141,63 @@ def _fit(classes, total, trees, spill, leaf_rows, sample_rows, seed) -> dict[int
     for size in sorted(set(sample["size"].to_pylist())):
         own = sample.filter(pc.equal(sample["size"], size))["v"].combine_chunks()
         leaf = max(LEAST_SAMPLE, int(leaf_rows * share))
-        forest[size] = [Tree(_matrix(own), leaf, spill, seed * 1000 + t) for t in range(trees)]
+        forest[size] = _grow(_matrix(own), similarity, recall, trees, spill, leaf, seed)
     return forest
 
 
+def _grow(sample, similarity, recall, trees, spill, leaf, seed) -> list[Tree]:
+    """Trees in which enough pairs at the similarity meet, by two standard errors."""
+    one, two = _partners(sample, similarity, seed)
+    while True:
+        grown, met = [], np.zeros(len(one), bool)
+        while len(grown) < max(trees, MOST_TREES):
+            grown.append(Tree(sample, leaf, spill, seed * 1000 + len(grown)))
+            met |= _meet(grown[-1], one, two)
+            share = met.mean() if len(met) else 1.0
+            enough = share - 2 * np.sqrt(share * (1 - share) / max(1, len(met))) >= recall
+            if len(grown) >= trees and enough:
+                return grown
+        if leaf >= len(sample):  # a single leaf, in which all meet
+            return grown[:trees]
+        leaf *= 2
+
+
+def _partners(sample: np.ndarray, similarity: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of the sample, and for each one at the similarity, as far from the mean as itself.
+
+    Each is turned around the mean towards another vector of the sample, by a right angle at most.
+    """
+    rng = np.random.default_rng(seed)
+    i, j = rng.integers(0, max(1, len(sample)), (2, TRIED_PAIRS if len(sample) > 1 else 0))
+    length = lambda x: np.linalg.norm(x, axis=1, keepdims=True)
+    mean = sample.mean(0)
+    own, other = sample[i] - mean, sample[j] - mean
+    some = length(own)[:, 0] > 1e-9
+    own, other = own[some], other[some]
+    other = other - (other * own).sum(1, keepdims=True) / length(own) ** 2 * own
+    some = length(other)[:, 0] > 1e-9
+    own, other = own[some], other[some]
+    other *= length(own) / length(other)
+    one = mean + own
+    low, high = np.zeros((len(own), 1)), np.full((len(own), 1), np.pi / 2)
+    for _ in range(40):
+        angle = (low + high) / 2
+        two = mean + np.cos(angle) * own + np.sin(angle) * other
+        near = (one * two).sum(1, keepdims=True) >= similarity * length(one) * length(two)
+        low, high = np.where(near, angle, low), np.where(near, high, angle)
+    return one, two / length(two)
+
+
+def _meet(tree: Tree, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Whether the rows share a leaf."""
+    (i, a), (j, b) = tree.leaves(one), tree.leaves(two)
+    nodes = len(tree.child)
+    both = np.intersect1d(i * nodes + a, j * nodes + b)
+    met = np.zeros(len(one), bool)
+    met[both // nodes] = True
+    return met
+
+
 def _compare(classes: DataFrame, forest: dict[int, list[Tree]], similarity: float) -> DataFrame:
     """Rows rep, links, root: in each leaf the number of vectors linked there first, and a tie."""
     spark = classes.sparkSession

@@ -288,6 +288,40 @@ def test_forest(spark):
     assert forest.near_vectors(df.limit(0)).count() == 0
 
 
+def test_forest_finds_near_vectors_with_a_common_direction(spark):
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    noise, turn = unit(rng.standard_normal((2000, 64))), unit(rng.standard_normal((2000, 64)))
+    turn = unit(turn - (turn * noise).sum(1, keepdims=True) * noise)
+    noise[1::2] = (0.7 * noise + np.sqrt(0.51) * turn)[::2]  # pairs at about 0.7 * 0.3 + 0.7
+    common = np.full(64, np.sqrt(0.7 / 64))
+    rows = unit(common + np.sqrt(0.3) * noise)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = by_id(forest.near_vectors(df, leaf_rows=40), "vec_id")
+    near = rows @ rows.T >= forest.SIMILARITY
+    np.fill_diagonal(near, False)
+    found = np.array([got[i].n_links for i in range(len(rows))])
+    assert (found <= near.sum(1)).all() and found.sum() >= 0.9 * near.sum() > 500
+
+
+def test_forest_grows_until_pairs_meet():
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    common, shift = np.eye(64)[0] * np.sqrt(0.7), np.sqrt(0.3)
+    own = lambda x: unit(x * (np.arange(64) > 0))
+    sample = common + shift * own(rng.standard_normal((6000, 64)))
+    one, turn = own(rng.standard_normal((1000, 64))), own(rng.standard_normal((1000, 64)))
+    turn = unit(turn - (turn * one).sum(1, keepdims=True) * one)
+    two = 2 / 3 * one + np.sqrt(5 / 9) * turn  # 0.7 + 0.3 * 2 / 3 = 0.9
+    one, two = common + shift * one, common + shift * two
+    share = lambda trees: np.any([forest._meet(t, one, two) for t in trees], axis=0).mean()
+    grown = forest._grow(sample, 0.9, 0.9, forest.TREES, forest.SPILL, 16, 1)
+    assert share(grown[: forest.TREES]) < 0.8 and share(grown) >= 0.9
+    # vectors too alike for that many trees lie in larger leaves
+    alike = unit(common * 3 + sample)
+    assert len(forest._grow(alike, 0.9, 0.9, forest.TREES, forest.SPILL, 16, 1)) <= forest.MOST_TREES
+
+
 def test_forest_cells_find_what_a_whole_leaf_finds(spark, monkeypatch):
     rng = np.random.default_rng(1)
     rows = [(i, (np.ones(8) + rng.standard_normal(8) * 0.3).tolist()) for i in range(90)]
