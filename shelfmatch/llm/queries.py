@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tables
-from . import bpe, chat, forest, html, jaccard, langid, packing, sharding, simhash, substrings
+from . import bpe, chat, forest, html, jaccard, langid, merkle, packing, periodic, rankbpe, sharding
+from . import simhash, substrings
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SHARDS = 8
@@ -135,10 +136,74 @@ def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return forest.near_vectors(read_table(spark, folder, "embeddings").select("vec_id", "embedding"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts as the contract changes them: a tenth of them end in words that repeat."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic.find_runs(periodic.with_periodic_ends(docs))
+
+    def longest_first(a, b):  # by length over period, compared exactly
+        more, less = a["length"] * b["period"], b["length"] * a["period"]
+        ahead = (more > less) | (
+            (more == less)
+            & ((a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["period"] < b["period"])))
+        )
+        return F.when(ahead, -1).otherwise(1)
+
+    best = F.get(F.array_sort("periodic.runs", longest_first), F.lit(0))
+    lines = F.transform(
+        "periodic.runs",
+        lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")),
+    )
+    return found.select("doc_id", "periodic", best.alias("best")).select(
+        "doc_id",
+        F.size("periodic.runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Where crc32 of the id is divisible by 3 a text's A-Z are lower-cased before its path is folded."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.translate("text", capitals, capitals.lower())
+    changed = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    rows = docs.select(
+        "doc_id",
+        "lang",
+        merkle.leaf_digest(*values, F.col("text")).alias("leaf"),
+        F.when(changed, merkle.leaf_digest(*values, tampered)).alias("_tampered"),
+    )
+    made = merkle.manifest(rows, "leaf", ["doc_id"], "lang")
+    found = made.withColumn("_shown", F.coalesce("_tampered", "leaf")).select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.proof().alias("proof_sha256"),
+        merkle.folded("_shown").alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    found = rankbpe.encode(docs, decode=True)
+    return found.select(
+        "doc_id",
+        (F.octet_length("tokens") / 4).cast("long").alias("n_tokens"),
+        F.sha2("tokens", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
         op1_language_id, op2_html_extraction, op3_packing, op4_simhash, op5_substring_dedup,
         op6_sharding, op7_bpe, op8_jaccard_join, op9_chat, op10_near_vectors,
+        op11_periodic_runs, op12_merkle_manifest, op13_byte_bpe,
     )
 }
