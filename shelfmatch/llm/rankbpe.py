@@ -7,15 +7,16 @@ entries of its neighbours stale; they are skipped when their turn comes. A piece
 n log n steps at most, however long it is.
 
 Texts are cut before white space that follows something else, where the pattern always cuts, so
-that no more than a slice of a text is held as pieces.
+that no more than a group of slices is held as pieces. The pieces of a group that are not known yet
+are merged together: side by side in one list with a place between them that merges with nothing,
+so that a bucket is emptied for all of them at once.
 """
 
 from __future__ import annotations
 
 import base64
 from array import array
-from collections.abc import Iterator
-from heapq import heappop, heappush
+from collections.abc import Iterable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
@@ -28,16 +29,17 @@ from .worker import held
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WORD = 8  # binary logarithm of the bits in one word of a bitmap
-KNOWN_PIECES = 250_000  # pieces that a worker remembers with their tokens, twice
+KNOWN_PIECES = 400_000  # pieces that a worker remembers with their tokens, twice
 LONGEST_KNOWN = 64  # characters of a piece that is worth remembering
 SLICE = 1 << 16  # characters of a text that are cut into pieces at a time
-BATCH_BYTES = 1 << 24  # of texts answered in one batch
+GROUP = 1 << 19  # characters whose pieces are merged together
+BATCH_BYTES = 1 << 24  # of ids answered in one batch
 NEVER = -1
 _BITS = (1 << WORD) - 1
 
 
 class RankQueue:
-    """Places waiting by rank. The least rank comes first, of one rank the leftmost place."""
+    """Places waiting in a bucket for each rank, and the least rank that has some."""
 
     def __init__(self, ranks: int):
         self.levels: list[list[int]] = []  # bitmaps; a bit says that a word below is not zero
@@ -52,7 +54,7 @@ class RankQueue:
     def push(self, rank: int, place: int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is not None:
-            heappush(bucket, place)
+            bucket.append(place)
             return
         self.buckets[rank] = [place]
         for level in self.levels:
@@ -63,7 +65,6 @@ class RankQueue:
                 return
 
     def least(self) -> int | None:
-        """The least rank that holds a place."""
         if not self.levels[-1][0]:
             return None
         at = 0
@@ -72,18 +73,16 @@ class RankQueue:
             at = (at << WORD) + (word & -word).bit_length() - 1
         return at
 
-    def pop(self, rank: int) -> int:
-        """The leftmost place of a rank that holds one."""
-        bucket = self.buckets[rank]
-        place = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            for level in self.levels:
-                bit, rank = 1 << (rank & _BITS), rank >> WORD
-                rest = level[rank] = level[rank] ^ bit
-                if rest:
-                    break
-        return place
+    def take(self, rank: int) -> list[int]:
+        """All places of a rank that has some, from left to right."""
+        places = self.buckets.pop(rank)
+        for level in self.levels:
+            bit, rank = 1 << (rank & _BITS), rank >> WORD
+            rest = level[rank] = level[rank] ^ bit
+            if rest:
+                break
+        places.sort()
+        return places
 
 
 class Ranks:
@@ -96,50 +95,79 @@ class Ranks:
                 if line.strip():
                     token, rank = line.split()
                     self.ids[base64.b64decode(token)] = int(rank)
+        self.prepare()
+
+    def prepare(self) -> None:
         self.bytes: list[bytes | None] = [None] * (max(self.ids.values()) + 1)
         for token, rank in self.ids.items():
             self.bytes[rank] = token
+        self.single = [self.ids[bytes([b])] for b in range(256)]
+        pairs = (bytes([a, b]) for a in range(256) for b in range(256))
+        self.double = [self.ids.get(pair, NEVER) for pair in pairs]  # ranks of two bytes
         self.queue = RankQueue(len(self.bytes))
 
-    def merge(self, data: bytes) -> list[int]:
-        """Merge, of all tokens side by side, the two of least rank first, the leftmost of equals."""
-        whole = self.ids.get(data)
-        if whole is not None:
-            return [whole]
-        n, rank_of, queue = len(data), self.ids.get, self.queue
-        after = list(range(1, n + 2))  # the place of the next token; n is the end
-        before = list(range(-1, n))
-        rank = [NEVER] * (n + 1)  # of the token at a place with the one after it
-        for place in range(n - 1):
-            found = rank_of(data[place : place + 2])
-            if found is not None:
-                rank[place] = found
-                queue.push(found, place)
-        while (least := queue.least()) is not None:
-            place = queue.pop(least)
-            if rank[place] != least:
-                continue  # stale: one of the two tokens has been merged since
-            gone = after[place]
-            follower = after[place] = after[gone]
-            before[follower] = place
-            rank[gone] = NEVER
-            for at in (before[place], place):
-                if at < 0:
-                    continue
-                # a token never gets back the rank it had, as its bytes have grown
-                end = after[at]
-                found = rank_of(data[at : after[end]]) if end < n else None
-                if found is None:
-                    rank[at] = NEVER
-                else:
-                    rank[at] = found
-                    queue.push(found, at)
-        out, place = [], 0
-        while place < n:
-            out.append(self.ids[data[place : after[place]]])
-            place = after[place]
+    def merge(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of each piece. Of all tokens side by side the two of least rank, of equals the
+        leftmost, become one, until no two have a rank."""
+        found = [self.ids.get(p) for p in pieces]
+        todo = [i for i, whole in enumerate(found) if whole is None and pieces[i]]
+        out = [[] if whole is None else [whole] for whole in found]
+        # a zero byte stands between pieces; its token marks that nothing merges with it
+        data = b"\0".join([b"", *(pieces[i] for i in todo), b""])
+        token = [*map(self.single.__getitem__, data)]  # at each place where one begins
+        rank = [self.double[a << 8 | b] for a, b in zip(data, data[1:])]  # with the token after
+        rank.append(NEVER)
+        firsts, at = [], 0
+        for i in todo:
+            token[at] = rank[at] = rank[at - 1] = NEVER
+            firsts.append(at + 1)
+            at += 1 + len(pieces[i])
+        if todo:
+            token[at] = rank[at] = rank[at - 1] = NEVER
+            self._merge(data, token, rank, after := list(range(1, len(data) + 1)))
+        for i, place in zip(todo, firsts):
+            while token[place] >= 0:
+                out[i].append(token[place])
+                place = after[place]
         return out
 
+    def _merge(self, data: bytes, token: list[int], rank: list[int], after: list[int]) -> None:
+        before = list(range(-1, len(data) - 1))
+        rank_of, push, least, take = self.ids.get, self.queue.push, self.queue.least, self.queue.take
+        for place, found in enumerate(rank):
+            if found >= 0:
+                push(found, place)
+        while (now := least()) is not None:
+            places, lower = take(now), False
+            for k, place in enumerate(places):
+                if rank[place] != now:
+                    continue  # stale: one of the two tokens has been merged since
+                token[place] = now
+                gone = after[place]
+                end = after[place] = after[gone]
+                before[end] = place
+                rank[gone] = rank[place] = NEVER
+                # a token never gets back a rank that it had, as its bytes have grown
+                if token[end] >= 0:
+                    found = rank_of(data[place : after[end]])
+                    if found is not None:
+                        rank[place] = found
+                        push(found, place)
+                        lower = found < now
+                left = before[place]
+                if token[left] >= 0:
+                    found = rank_of(data[left:end])
+                    if found is None:
+                        rank[left] = NEVER
+                    else:
+                        rank[left] = found
+                        push(found, left)
+                        lower |= found < now
+                if lower:  # the rest waits for the rank that comes first now
+                    for waiting in places[k + 1 :]:
+                        push(now, waiting)
+                    break
+
 
 class Known(dict):
     """Packed ids of the pieces met lately, in two halves, so that frequent ones are never forgotten."""
@@ -148,17 +176,21 @@ class Known(dict):
         super().__init__()
         self.ranks, self.older = ranks, {}
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(piece) > LONGEST_KNOWN:
-            return pack(self.ranks.merge(piece.encode()))
+    def pieces(self, pieces: set[str]) -> dict[str, bytes]:
+        """Learns these pieces and returns those that are too long to be remembered."""
+        new = [p for p in pieces if p not in self]
+        self.update([(p, self.older[p]) for p in new if p in self.older])
+        new = [p for p in new if p not in self]
+        made = zip(new, map(pack, self.ranks.merge([p.encode() for p in new])))
+        long = {}
+        for piece, packed in made:
+            (self if len(piece) <= LONGEST_KNOWN else long)[piece] = packed
+        return long
+
+    def forget(self) -> None:
         if len(self) >= KNOWN_PIECES:
             self.older = dict(self)
             self.clear()
-        found = self.older.get(piece)
-        if found is None:
-            found = pack(self.ranks.merge(piece.encode()))
-        self[piece] = found
-        return found
 
 
 def pack(ids: list[int]) -> bytes:
@@ -187,10 +219,33 @@ class Tokenizer:
             at = end
         yield text[at:] if at else text
 
-    def encode(self, text: str) -> bytes:
-        """Packed ids."""
-        known = self.known.__getitem__
-        return b"".join([b"".join(map(known, self.pieces(part))) for part in self.slices(text)])
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Packed ids of each text. A text of many slices goes through several groups."""
+        group: list[tuple[bool, list[str]]] = []  # pieces of a slice, and whether its text ends there
+        size, parts = 0, []
+        for text in texts:
+            slices = self.slices(text)
+            part = next(slices)
+            while part is not None:
+                after = next(slices, None)
+                group.append((after is None, self.pieces(part)))
+                size, part = size + len(part), after
+                if size >= GROUP:
+                    yield from self._joined(group, parts)
+                    group, size = [], 0
+        yield from self._joined(group, parts)
+
+    def _joined(self, group: list[tuple[bool, list[str]]], parts: list[bytes]) -> Iterator[bytes]:
+        """``parts`` are what came before of the text that the group begins with."""
+        known = self.known
+        long = known.pieces(set().union(*(pieces for _, pieces in group)))
+        one = known.__getitem__ if not long else lambda p: known.get(p) or long[p]
+        for ends, pieces in group:
+            parts.append(b"".join(map(one, pieces)))
+            if ends:
+                yield b"".join(parts)
+                parts.clear()
+        known.forget()
 
     def decode(self, packed: bytes) -> bytes:
         ids = array("I")
@@ -225,10 +280,9 @@ def encode(df: DataFrame, text: str = "text", name: str = VOCABULARY, decode: bo
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_of(name)
         for batch in batches:
-            first, size, columns = 0, 0, [[] for _ in made]
             texts = batch[0].field(at)
-            for i, one in enumerate(texts):
-                ids = tokenizer.encode(one.as_py() or "")
+            first, size, columns = 0, 0, [[] for _ in made]
+            for i, ids in enumerate(tokenizer.encode(one.as_py() or "" for one in texts)):
                 columns[0].append(ids)
                 if decode:
                     columns[1].append(tokenizer.decode(ids))

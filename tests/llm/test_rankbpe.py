@@ -20,44 +20,54 @@ def library():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def test_queue_gives_the_least_rank_and_its_leftmost_place():
+def test_queue_gives_the_least_rank_and_its_places_in_order():
     rng, queue, held = random.Random(1), rankbpe.RankQueue(100_000), []
-    for _ in range(4000):
-        if held and rng.random() < 0.5:
+    for step in range(6000):
+        if held and (rng.random() < 0.3 or step > 5000):
             rank = queue.least()
-            assert (rank, queue.pop(rank)) == min(held)
-            held.remove(min(held))
-        else:
+            assert rank == min(held)[0] and queue.take(rank) == sorted(p for r, p in held if r == rank)
+            held = [h for h in held if h[0] != rank]
+        elif step < 5000:
             held.append((rng.choice([3, 255, 256, 65_535, 65_536, 99_999, rng.randrange(100_000)]), rng.randrange(50)))
             queue.push(*held[-1])
-    while held:
-        rank = queue.least()
-        assert (rank, queue.pop(rank)) == min(held)
-        held.remove(min(held))
-    assert queue.least() is None and rankbpe.RankQueue(1).least() is None
+    assert not held and queue.least() is None and rankbpe.RankQueue(1).least() is None
+
+
+def test_a_lower_rank_that_a_merge_makes_comes_first():
+    ranks = rankbpe.Ranks.__new__(rankbpe.Ranks)
+    tokens = [bytes([b]) for b in range(256)] + [b"xab", b"ab", b"abx"]
+    ranks.ids = {t: i for i, t in enumerate(tokens)}
+    ranks.prepare()
+    own = tiktoken.Encoding("own", pat_str=r"\S+|\s+", mergeable_ranks=ranks.ids, special_tokens={})
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abx") for _ in range(rng.randint(0, 30))) for _ in range(400)] + ["abxabxab"]
+    assert ranks.merge([t.encode() for t in texts]) == [own.encode_ordinary(t) for t in texts]
 
 
 def test_merges_equal_the_library(library, monkeypatch):
     own, rng = rankbpe.Tokenizer(), random.Random(2)
-    letters = "aethsin   THE'sll\n\t éñ漢🙂0123.,!<|endoftext|>́\x1c\x1d\x85　\xa0"
+    letters = "aethsin   THE'sll\n\t éñ漢🙂0123.,!<|endoftext|>́\x1c\x1d\x85　\xa0\0"
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(1500)]
     texts += ["".join(map(chr, (rng.randrange(0x20, 0xD000) for _ in range(4000))))]
     texts += ["".join(rng.choice("abcdefgh") for _ in range(3000)), "ab" * 30_000]
-    for cut in (40, rankbpe.SLICE):  # cut into slices the pieces are the same
+    texts += [t or "" for t in ODD]
+    for cut, group in ((40, 100), (40, 1 << 19), (rankbpe.SLICE, rankbpe.GROUP)):
         monkeypatch.setattr(rankbpe, "SLICE", cut)
-        for text in texts + [t or "" for t in ODD]:
+        monkeypatch.setattr(rankbpe, "GROUP", group)
+        got = list(own.encode(texts))
+        assert len(got) == len(texts)
+        for text, packed in zip(texts, got):
             ids = library.encode_ordinary(text)
-            packed = own.encode(text)
             assert rankbpe.unpack(packed) == ids
             assert own.decode(packed) == library.decode_bytes(ids) == text.encode()
 
 
 def test_pieces_forgotten_are_merged_again(library, monkeypatch):
     monkeypatch.setattr(rankbpe, "KNOWN_PIECES", 7)
-    own = rankbpe.Tokenizer()
-    for text in ("one two three four five six seven eight nine one two", "one ten two eleven"):
-        assert rankbpe.unpack(own.encode(text)) == library.encode_ordinary(text)
-    assert len(own.known) <= 7
+    monkeypatch.setattr(rankbpe, "GROUP", 1)
+    own, texts = rankbpe.Tokenizer(), ["one two three four five six seven eight nine one two", "one ten two eleven"] * 2
+    assert [rankbpe.unpack(p) for p in own.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+    assert len(own.known) < 7 + 9
 
 
 def test_tables(spark, library, monkeypatch):
