@@ -36,7 +36,7 @@ def _token_side(side: DataFrame, id_: str, tokens: str) -> DataFrame:
     return _keyed(side, id_, terms, F.array_join("value", "\u0001"))
 
 
-def _vector_side(side: DataFrame, id_: str, vec: str) -> DataFrame:
+def vector_side(side: DataFrame, id_: str, vec: str) -> DataFrame:
     return _keyed(
         side, id_, F.col(vec).cast("array<double>"), F.array_join("value", ",")
     )
@@ -51,7 +51,7 @@ def _distance_of(shared: Column, size_a: Column, size_b: Column) -> Column:
     return 1 - F.try_divide(shared.cast("double"), (size_a + size_b - shared).cast("double"))
 
 
-def _distinct(keyed: DataFrame) -> DataFrame:
+def distinct_values(keyed: DataFrame) -> DataFrame:
     return keyed.select("key", "value").dropDuplicates(["key"])
 
 
@@ -70,7 +70,7 @@ def _verify(
     )
 
 
-def _put_ids_back(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+def put_ids_back(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     ids_a = a.select(F.col("key").alias("key_a"), F.col("id").alias("id_a"))
     ids_b = b.select(F.col("key").alias("key_b"), F.col("id").alias("id_b"))
     return pairs.join(ids_a, "key_a").join(ids_b, "key_b").select("id_a", "id_b", "distance")
@@ -128,14 +128,14 @@ def jaccard_join(
             lambda i: F.array_join(F.slice(F.col("signature"), i * rows + 1, rows), ","),
         )
     keyed_a, keyed_b = _token_side(a, id_, tokens), _token_side(b, id_, tokens)
-    sets_a, sets_b = _distinct(keyed_a), _distinct(keyed_b)
+    sets_a, sets_b = distinct_values(keyed_a), distinct_values(keyed_b)
     signed_a = sets_a.withColumn("signature", signature)
     signed_b = sets_b.withColumn("signature", signature)
     candidates = _join_on_hashes(
         signed_a, signed_b, F.col("signature") if rows == 1 else banded
     )
     pairs = _verify(candidates, sets_a, sets_b, _set_distance, threshold)
-    return _put_ids_back(pairs, keyed_a, keyed_b)
+    return put_ids_back(pairs, keyed_a, keyed_b)
 
 
 def _count_shared(sets_a: DataFrame, sets_b: DataFrame, threshold: float) -> DataFrame:
@@ -171,9 +171,9 @@ def jaccard_join_exact(
     """
     s = 1.0 - threshold
     keyed_a, keyed_b = _token_side(a, id_, tokens), _token_side(b, id_, tokens)
-    sets_a, sets_b = _distinct(keyed_a), _distinct(keyed_b)
+    sets_a, sets_b = distinct_values(keyed_a), distinct_values(keyed_b)
     if s < COUNTED_BELOW:
-        return _put_ids_back(_count_shared(sets_a, sets_b, threshold), keyed_a, keyed_b)
+        return put_ids_back(_count_shared(sets_a, sets_b, threshold), keyed_a, keyed_b)
 
     words = (
         sets_a.select("value").unionAll(sets_b.select("value"))
@@ -199,7 +199,7 @@ def jaccard_join_exact(
 
     joined = skew_join(prefixes(sets_a, "a"), prefixes(sets_b, "b"), ["word"], ["key_a"], hot)
     pairs = _verify(joined.where(_sizes_reach(s)), sets_a, sets_b, _set_distance, threshold)
-    return _put_ids_back(pairs, keyed_a, keyed_b)
+    return put_ids_back(pairs, keyed_a, keyed_b)
 
 
 def _sizes_reach(s: float) -> Column:
@@ -228,8 +228,8 @@ def euclidean_join(
     """
     if paired_only:
         return _own_pairs(a, b, id_, vec, euclidean, threshold)
-    keyed_a, keyed_b = _vector_side(a, id_, vec), _vector_side(b, id_, vec)
-    vectors_a, vectors_b = _distinct(keyed_a), _distinct(keyed_b)
+    keyed_a, keyed_b = vector_side(a, id_, vec), vector_side(b, id_, vec)
+    vectors_a, vectors_b = distinct_values(keyed_a), distinct_values(keyed_b)
     buckets = projection_buckets("value", dim, tables * per_table, bucket_length, seed)
     if per_table == 1:
         candidates = _join_on_hashes(vectors_a, vectors_b, buckets)
@@ -240,7 +240,7 @@ def euclidean_join(
             vectors_a.withColumn("buckets", buckets), vectors_b.withColumn("buckets", buckets), together
         )
     pairs = _verify(candidates, vectors_a, vectors_b, euclidean, threshold)
-    return _put_ids_back(pairs, keyed_a, keyed_b)
+    return put_ids_back(pairs, keyed_a, keyed_b)
 
 
 def distance_join_exact(
@@ -263,13 +263,13 @@ def distance_join_exact(
     """
     if metric == "cosine":
         radius = math.sqrt(2.0 * threshold)
-        a, b = (_unit(side, id_, vec) for side in (a, b))
+        a, b = (unit_side(side, id_, vec) for side in (a, b))
     elif metric == "euclidean":
         radius = threshold
     else:
         raise ValueError(f"unknown metric {metric!r}")
-    keyed_a, keyed_b = _vector_side(a, id_, vec), _vector_side(b, id_, vec)
-    vectors_a, vectors_b = _distinct(keyed_a), _distinct(keyed_b)
+    keyed_a, keyed_b = vector_side(a, id_, vec), vector_side(b, id_, vec)
+    vectors_a, vectors_b = distinct_values(keyed_a), distinct_values(keyed_b)
     # the directions are rounded, so cells are a little wider than the radius
     width = radius * (1 + 1e-4)
     directions = unit_directions(axes, dim, seed)
@@ -285,13 +285,13 @@ def distance_join_exact(
         right = right.withColumn(n, near)
     candidates = skew_join(left, right, names, ["key_a"])
     pairs = _verify(candidates, vectors_a, vectors_b, euclidean, radius)
-    result = _put_ids_back(pairs, keyed_a, keyed_b)
+    result = put_ids_back(pairs, keyed_a, keyed_b)
     if metric == "cosine":
         return result.withColumn("distance", F.col("distance") * F.col("distance") / 2)
     return result
 
 
-def _unit(side: DataFrame, id_: str, vec: str) -> DataFrame:
+def unit_side(side: DataFrame, id_: str, vec: str) -> DataFrame:
     v = F.col(vec).cast("array<double>")
     size = F.sqrt(dot(vec, vec))
     return (

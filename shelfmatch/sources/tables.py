@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -51,6 +52,12 @@ def read_relevance_csv(
     return train, descriptions, attributes
 
 
+def tell_workers(spark: SparkSession) -> None:
+    """Where this package is, for Python workers on this machine; a cluster ships it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -10,7 +10,7 @@ QUICK = [
     "label_13", "term_stats", "minhash", "projection", "jaccard_join", "jaccard_join_exact",
     "distance_join_exact", "binary_metrics", "naive_bayes", "match_by_jaccard",
     "jaccard_join_close", "jaccard_join_banded", "euclidean_join_close", "select_features",
-    "select_features_f", "linear", "linear_coefficients", "isotonic_boundaries",
+    "select_features_f", "linear", "linear_coefficients", "isotonic_boundaries", "radius_join", "radius_join_cosine",
 ]
 
 

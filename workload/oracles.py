@@ -678,6 +678,11 @@ def oracle_sql() -> dict[str, str]:
         "FROM dist WHERE euclidean < 0.99",
         "cosine_join_exact": f"WITH {CENTRES} SELECT id_a, id_b, round(cosine, 6) AS distance "
         "FROM dist WHERE cosine < 0.85",
+        "radius_join": f"WITH {CENTRES} SELECT id_a, id_b, round(distance, 6) AS distance FROM (SELECT "
+        "a.id AS id_a, b.id AS id_b, sqrt(list_sum(list_transform(list_zip(a.v, b.v), "
+        "lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance FROM eb a, eb b) WHERE distance < 1.05",
+        "radius_join_cosine": f"WITH {CENTRES} SELECT id_a, id_b, round(cosine, 6) AS distance "
+        "FROM dist WHERE cosine < 0.85",
         "drop_singletons": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey "
         "FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1",
         "dedupe_pairs": "SELECT DISTINCT l_orderkey, l_partkey FROM lineitem",

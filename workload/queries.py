@@ -27,6 +27,7 @@ from shelfmatch.functions.vectors import (
 from shelfmatch.operators import features as fe
 from shelfmatch.operators import metrics as me
 from shelfmatch.operators import models as mo
+from shelfmatch.operators import radius as ra
 from shelfmatch.operators import relational as re_
 from shelfmatch.operators import simjoin as sj
 from shelfmatch.plans import match
@@ -303,6 +304,24 @@ def cosine_join_exact(spark, d):
     ).select("id_a", "id_b", r6("distance", "distance"))
 
 
+@query
+def radius_join(spark, d):
+    """Vectors against vectors at a radius that few pairs lie within."""
+    e = so.read_table(spark, d, "embeddings")
+    return ra.radius_join(e, e, "vec_id", "embedding", wt.DIM, 1.05, pivots=16).select(
+        "id_a", "id_b", r6("distance", "distance")
+    )
+
+
+@query
+def radius_join_cosine(spark, d):
+    """Vectors against the mean vectors of their labels, pivots as planned."""
+    return ra.radius_join(
+        so.read_table(spark, d, "embeddings"), wt.label_centres(spark, d), "vec_id", "embedding",
+        wt.DIM, 0.85, metric="cosine",
+    ).select("id_a", "id_b", r6("distance", "distance"))
+
+
 @query
 def drop_singletons(spark, d):
     lines = so.read_table(spark, d, "lineitem").select(
