@@ -9,12 +9,12 @@ only lengths and keys move.
 from __future__ import annotations
 
 import os
-import re
 import sys
 import zlib
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,14 +24,37 @@ from pyspark.sql import types as T
 
 from .kept import keep
 from .worker import held
+from .words import flat
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 2  # id after each document
 GROUP_ROWS = 2000  # pieces packed together: enough that the last windows hardly count
 KNOWN_WORDS = 200_000  # words a worker remembers with their ids, twice
+SPLIT_BYTES = 1 << 23  # of texts whose words are looked up together; a longer text goes alone
+_SPACE = 32
 # the vocabulary cuts between a letter and such a mark, so that a space there changes nothing
-_MARK = re.compile(r"(?<=[A-Za-z])(?=[.,]+(?: |$))")
+_LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_MARK[[*b".,"]] = True
+
+
+def with_spaces(texts: pa.Array) -> pa.Array:
+    """The texts with a space between a letter and a mark that ends a word; null is empty."""
+    data, places = flat(texts)
+    if len(data):
+        ends = np.zeros(len(data), bool)  # whether a space or the end of a text comes next
+        ends[:-1] = data[1:] == _SPACE
+        ends[places[1:][places[1:] > 0] - 1] = True
+        cut = _MARK[data] & ends
+        cut[1:] &= _LETTER[data[:-1]]
+        cut[0] = False
+        cut[places[:-1][places[:-1] < len(data)]] = False
+        cuts = np.flatnonzero(cut)
+        data = np.insert(data, cuts, _SPACE)
+        places = places + np.searchsorted(cuts, places)
+    buffers = [None, pa.py_buffer(places.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())]
+    return pa.Array.from_buffers(pa.large_string(), len(texts), buffers)
 
 
 class KnownWords(dict):
@@ -47,16 +70,33 @@ class KnownWords(dict):
         self.tokenizer.no_padding()
         self.older: dict[str, bytes] = {}
 
-    def text(self, text: str) -> bytes:
-        """Ids of a text, 4 little-endian bytes each. White space is dropped by the vocabulary."""
-        words = _MARK.sub(" ", text).split(" ")
-        missing = [w for w in set(words) if w not in self]
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and where those of each begin. White space is dropped by the vocabulary.
+
+        Each different word is looked up once; its ids are then gathered wherever it stands.
+        """
+        split = pc.split_pattern(with_spaces(texts), " ")
+        words = split.flatten().dictionary_encode()
+        packed = self.words(words.dictionary.to_pylist())
+        place = np.asarray(words.indices)
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        length = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        first = np.cumsum(length) - length
+        many = length[place]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        source = np.arange(ends[-1]) + np.repeat(first[place] - ends[:-1], many)
+        bounds = np.asarray(split.offsets) - split.offsets[0].as_py()
+        return ids[source], ends[bounds]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, 4 little-endian bytes each."""
+        missing = [w for w in words if w not in self]
         if missing:
             self.update((w, self.older[w]) for w in missing if w in self.older)
             missing = [w for w in missing if w not in self]
             found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
             self.update(zip(missing, [_pack(e.ids) for e in found]))
-        out = b"".join(map(self.__getitem__, words))
+        out = [*map(self.__getitem__, words)]
         if len(self) > KNOWN_WORDS:
             self.older = dict(self)
             self.clear()
@@ -95,28 +135,43 @@ def token_pieces(
         schema.add(c, T.LongType())
     if with_ids:
         schema.add("ids", T.ArrayType(T.IntegerType()))
-    tail, step = end.to_bytes(4, "little"), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = known_words(name)
         for batch in batches:
-            row, columns = [], [[], [], [], [], []]
-            for i, t in enumerate(batch[1]):
-                ids = words.text(t.as_py() or "") + tail
-                for at in range(0, len(ids), step):
-                    piece = ids[at : at + step]
-                    row.append(i)
-                    for c, v in zip(columns, (at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4, piece)):
-                        c.append(v)
-            out = [batch[0].take(pa.array(row, pa.int64()))]
-            out += [pa.array(c, pa.int64()) for c in columns[:4]]
-            if with_ids:
-                out.append(pa.array([array("i", p).tolist() for p in columns[4]], pa.list_(pa.int32())))
-            yield pa.record_batch(out, names=schema.names)
+            for low, high in _parts(batch[1]):
+                part = batch.slice(low, high - low)
+                ids, bounds = words.texts(part[1])
+                ids = np.insert(ids, bounds[1:], end).astype("<u4")
+                bounds = bounds + np.arange(len(bounds))
+                total = np.diff(bounds)
+                pieces = -(-total // capacity)
+                row = np.repeat(np.arange(len(total)), pieces)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
+                length = np.minimum(total[row] - start, capacity)
+                at = bounds[row] + start
+                raw = memoryview(ids.tobytes())
+                crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(at.tolist(), length.tolist())]
+                out = [part[0].take(pa.array(row)), start, length, pa.array(crc, pa.int64()), total[row]]
+                if with_ids:  # pieces follow one another as the ids do
+                    offsets = pa.array(np.append(at, len(ids)), pa.int32())
+                    out.append(pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))))
+                yield pa.record_batch(out, names=schema.names)
 
     return docs.select(key, text).mapInArrow(cut, schema)
 
 
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of SPLIT_BYTES at most."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + SPLIT_BYTES, "right")))
+        yield at, to
+        at = to
+
+
 class OpenWindows:
     """Open windows by remaining capacity, in a segment tree that tells which capacities occur."""
 
