@@ -24,15 +24,15 @@ from pyspark.sql import types as T
 
 from .kept import keep
 from .worker import held
-from .words import flat
+from .words import LOWER, flat
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 2  # id after each document
 GROUP_ROWS = 2000  # pieces packed together: enough that the last windows hardly count
 KNOWN_WORDS = 200_000  # words a worker remembers with their ids, twice
-SPLIT_BYTES = 1 << 23  # of texts whose words are looked up together; a longer text goes alone
-_SPACE = 32
+SPLIT_BYTES = 1 << 24  # of texts whose words are looked up together; a longer text goes alone
+_SPACE, _NAME = 32, b"<|"  # what the name of a special token begins with
 # the vocabulary cuts between a letter and such a mark, so that a space there changes nothing
 _LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
@@ -40,9 +40,15 @@ _MARK[[*b".,"]] = True
 
 
 def with_spaces(texts: pa.Array) -> pa.Array:
-    """The texts with a space between a letter and a mark that ends a word; null is empty."""
+    """The texts with a space between a letter and a mark that ends a word; null is empty.
+
+    A to Z are lower-cased, as the vocabulary does, unless a text may name a special token, which
+    has no capitals.
+    """
     data, places = flat(texts)
     if len(data):
+        if not ((data[:-1] == _NAME[0]) & (data[1:] == _NAME[1])).any():
+            data = LOWER[data]
         ends = np.zeros(len(data), bool)  # whether a space or the end of a text comes next
         ends[:-1] = data[1:] == _SPACE
         ends[places[1:][places[1:] > 0] - 1] = True

@@ -13,8 +13,8 @@ import pyarrow.compute as pc
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _MASK = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93))
 _S29, _S32 = np.uint64(29), np.uint64(32)
@@ -97,7 +97,7 @@ def split_words(texts: pa.Array | pa.ChunkedArray, lower: bool = False) -> Words
     """``lower`` lower-cases A to Z."""
     data, places = flat(texts)
     if lower:
-        data = _LOWER[data]
+        data = LOWER[data]
     inside = ~_SPACE[data]
     joined = np.zeros(len(data) + 1, bool)  # whether the byte before belongs to the same word
     joined[1:-1] = inside[:-1] & inside[1:] if len(data) else False

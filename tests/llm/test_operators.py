@@ -183,6 +183,33 @@ def test_packing(docs):
         packing.best_fit_decreasing([5], 4)
 
 
+@pytest.mark.parametrize("name", ["", "<|"])
+def test_ids_of_odd_words(name, monkeypatch):
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 300)
+    library = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    rng, words = random.Random(4), packing.KnownWords(packing.VOCABULARY)
+    letters = "aBİIe.,,. \n\té\u0301\u0307\u0338漢🙂0'sKÅ" + name
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(800)]
+    texts += ["", None, ".", ",", "a.", "A. B.", "a.\n", "x" * 5000, "I\u0307.", "E\u0301,"]
+    texts += ["<|ENDOFTEXT|> A", "x<|endoftext|>A", "<|endoftext|>"] if name else ["<", "|"]
+    for part in (texts, texts[5:9], [None, ""], []):
+        array = packing.pa.array([None, *part], packing.pa.string()).slice(1)
+        ids, bounds = words.texts(array)
+        for i, text in enumerate(part):
+            assert ids[bounds[i] : bounds[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_packing_of_odd_rows(spark):
+    rows = [(None, "one two"), (None, "one two"), (3, None), (3, ""), (4, "a " * 9000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("offset", F.lit("x"))
+    pieces = packing.token_pieces(df).withColumn("sequence_id", F.lit("y"))
+    got = packing.pack(pieces, ["doc_id", "start"]).collect()
+    assert sorted((r.doc_id or 0, r.start, r.length) for r in got) == [
+        (0, 0, 3), (0, 0, 3), (3, 0, 1), (3, 0, 1), (4, 0, 4096), (4, 4096, 4096), (4, 8192, 809),
+    ]
+    assert all(isinstance(r.sequence_id, int) and isinstance(r.offset, int) for r in got)
+
+
 def test_best_fit_takes_the_tightest_window():
     rng = random.Random(1)
     lengths = [rng.randint(1, 40) for _ in range(300)]
