@@ -15,8 +15,8 @@ from pyspark.ml.feature import (
     VectorSlicer,
     Word2Vec,
 )
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import ChiSquareTest
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import ChiSquareTest, Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,29 +133,42 @@ def embed_tokens(df: DataFrame, tokens: str, model, out: str | None = None) -> D
     return (m.setOutputCol(out) if out else m).transform(df)
 
 
-def embed_with_table(
-    df: DataFrame, id_: str, tokens: str, vectors: DataFrame, dim: int, out: str = "vector"
+def embed_fields_with_table(
+    df: DataFrame, id_: str, fields: list[str], vectors: DataFrame, dim: int
 ) -> DataFrame:
-    """``embed_tokens`` with the word vectors in a table ``word, vector`` of any size.
+    """``id_`` and the mean word vector ``<field>_vector`` of each list of words, as an array.
 
-    A row's repeated words are joined once. Rows without any known word get the zero vector.
-    ``df`` is read three times; cut its lineage first if its words are dear to compute.
+    ``vectors`` is a table ``word, vector`` of any size; unknown words count as zero, so that a list
+    without known words has the zero vector. Words of all fields are joined at once, those that a
+    list repeats once. Ids are unique.
     """
-    words = df.select(
-        id_, F.size(tokens).alias("_n"), F.explode_outer(term_counts(tokens)).alias("e")
-    ).select(id_, "_n", F.col("e.term").alias("word"), F.col("e.n").alias("times"))
-    known = skew_join(
-        words.where(F.col("word").isNotNull()),
-        vectors.select("word", F.col("vector").cast("array<double>").alias("v")),
-        ["word"],
-        [id_],
+    lists = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("words")) for f in fields]))
+    counted = df.select(id_, lists.alias("f")).select(
+        id_, "f.field", F.size("f.words").alias("_n"), F.explode_outer(term_counts("f.words")).alias("e")
+    )
+    words = counted.select(
+        id_, "field", F.col("e.term").alias("word"), (F.col("e.n") / F.col("_n")).alias("_share")
     )
-    sums = known.groupBy(id_).agg(
-        *[F.sum(F.get("v", F.lit(i)) * F.col("times") / F.col("_n")).alias(f"v{i}") for i in range(dim)]
+    known = vectors.select("word", F.col("vector").cast("array<double>").alias("_v"))
+    joined = skew_join(words, known, ["word"], [id_, "field"], how="left")
+    none = F.array_repeat(F.lit(0.0), dim)
+    # a list without words has one row, of no word
+    weight = F.coalesce(F.when(F.col("_v").isNotNull(), F.col("_share")), F.lit(1.0))
+    means = joined.groupBy(id_, "field").agg(
+        Summarizer.sum(array_to_vector(F.coalesce("_v", none)), weight).alias("_sum")
     )
-    some = sums.select(id_, F.array(*[f"v{i}" for i in range(dim)]).alias(out))
-    zero = F.array_repeat(F.lit(0.0), dim)
-    return df.select(id_).join(some, id_, "left").withColumn(out, F.coalesce(out, zero))
+    means = means.select(id_, "field", vector_to_array("_sum").alias("_mean"))
+    return means.groupBy(id_).agg(
+        *[F.first(F.when(F.col("field") == f, F.col("_mean")), True).alias(f"{f}_vector") for f in fields]
+    )
+
+
+def embed_with_table(
+    df: DataFrame, id_: str, tokens: str, vectors: DataFrame, dim: int, out: str = "vector"
+) -> DataFrame:
+    """``embed_tokens`` with the word vectors in a table: ``id_`` and the mean vector of a list."""
+    made = embed_fields_with_table(df, id_, [tokens], vectors, dim)
+    return made.withColumnRenamed(f"{tokens}_vector", out)
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from shelfmatch.functions.text import (
     token_count,
     tokenize,
 )
-from shelfmatch.operators.features import embed_tokens
+from shelfmatch.operators.features import embed_fields_with_table, embed_tokens
 
 FIELDS = {
     "title": "product_title",
@@ -121,8 +122,13 @@ def stem_overlap_features(words: DataFrame) -> DataFrame:
     )
 
 
-def embed_fields(words: DataFrame, fields: list[str], model) -> DataFrame:
-    """Adds ``<field>_vector`` per field, all by the same word-vector model."""
+def embed_fields(words: DataFrame, fields: list[str], model, size: int = 100) -> DataFrame:
+    """Adds ``<field>_vector`` per field: ML vectors of ``size`` by the same word vectors, a table
+    ``word, vector`` or a Word2Vec model. With a table pair ids are unique."""
+    if isinstance(model, DataFrame):
+        embedded = embed_fields_with_table(words, "pair_id", fields, model, size)
+        vectors = [array_to_vector(f"{f}_vector").alias(f"{f}_vector") for f in fields]
+        return words.join(embedded.select("pair_id", *vectors), "pair_id")
     for f in fields:
         words = embed_tokens(words, f, model, f"{f}_vector")
     return words

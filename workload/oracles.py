@@ -683,6 +683,18 @@ def oracle_sql() -> dict[str, str]:
         "lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance FROM eb a, eb b) WHERE distance < 1.05",
         "radius_join_cosine": f"WITH {CENTRES} SELECT id_a, id_b, round(cosine, 6) AS distance "
         "FROM dist WHERE cosine < 0.85",
+        "word_ppmi": with_(
+            [*pair_words(),
+             "t AS (SELECT pair_id, unnest(title) AS term, generate_subscripts(title, 1) AS pos FROM w)",
+             "near AS (SELECT x.term AS word, y.term AS context, count(*) AS n FROM t x JOIN t y "
+             "ON x.pair_id = y.pair_id AND abs(x.pos - y.pos) BETWEEN 1 AND 2 GROUP BY x.term, y.term)",
+             "often AS (SELECT word FROM near GROUP BY word HAVING sum(n) >= 5)",
+             "kept AS (SELECT * FROM near WHERE word IN (FROM often) AND context IN (FROM often))",
+             "s AS (SELECT word, sum(n)::DOUBLE AS n_word FROM kept GROUP BY word)",
+             "p AS (SELECT kept.word, kept.context, n, ln(n * (SELECT sum(n_word) FROM s) / (a.n_word * b.n_word)) AS ppmi "
+             "FROM kept JOIN s a ON a.word = kept.word JOIN s b ON b.word = kept.context)"],
+            "SELECT word, context, n, round(ppmi, 6) AS ppmi FROM p WHERE ppmi > 0",
+        ),
         "drop_singletons": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey "
         "FROM lineitem QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1",
         "dedupe_pairs": "SELECT DISTINCT l_orderkey, l_partkey FROM lineitem",

@@ -30,6 +30,7 @@ from shelfmatch.operators import models as mo
 from shelfmatch.operators import radius as ra
 from shelfmatch.operators import relational as re_
 from shelfmatch.operators import simjoin as sj
+from shelfmatch.operators import wordvectors as wv
 from shelfmatch.plans import match
 from shelfmatch.plans.classify import classification_frames, classify_relevance, pca_frames
 from shelfmatch.plans.features import OVERLAP_FEATURES, overlap_features, words_of
@@ -615,6 +616,26 @@ def word2vec_words(spark, d):
     return vectors.select("word", big(F.size(vector_to_array("vector")), "size"))
 
 
+@query
+def word_ppmi(spark, d):
+    """Words of the titles that stand near each other more often than chance."""
+    words = so.cut_lineage(pair_words(spark, d).select("title"))
+    return wv.ppmi(words, "title", window=2, min_count=5).select(
+        "word", "context", big("n", "n"), r6("ppmi", "ppmi")
+    )
+
+
+@query
+def learnt_word_vectors(spark, d):
+    """Vectors learnt from the titles: of each word their number of places and squared length."""
+    words = so.cut_lineage(pair_words(spark, d).select("title"))
+    vectors = wv.word_vectors(words, "title", size=50)
+    return vectors.select(
+        "word", big(F.size("vector"), "n"),
+        r6(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x), "square"),
+    )
+
+
 @query
 def embed_tokens(spark, d):
     words = so.cut_lineage(pair_words(spark, d, "porter"))
