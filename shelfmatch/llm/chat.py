@@ -26,6 +26,8 @@ CONTROL = [START, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<S
 _PLAIN = re.compile("|".join(rf"{re.escape(c[0])}\\*{re.escape(c[1:])}" for c in CONTROL))
 _ESCAPED = re.compile("|".join(rf"{re.escape(c[0])}\\+{re.escape(c[1:])}" for c in CONTROL))
 _TURN = re.compile(rf"{re.escape(START)}([^\n]*)\n(.*?){re.escape(END)}\n", re.DOTALL)
+_HALF = re.compile("[\ud800-\udfff]")
+DEEPEST = 16  # levels of a record that its fingerprint looks into
 TURNS = T.ArrayType(
     T.StructType([T.StructField("role", T.StringType()), T.StructField("text", T.StringType())])
 )
@@ -64,17 +66,23 @@ LAYOUTS = (
 )
 
 
-def field_paths(record, at: str = "") -> set[str]:
-    """Paths of all leaves; items of lists share one path. A null leaf counts, its path is there."""
+def field_paths(record, at: str = "", depth: int = 0) -> set[str]:
+    """Paths of all leaves; items of lists share one path. A null leaf counts, its path is there.
+
+    What lies DEEPEST levels down or deeper is one leaf, whatever it holds.
+    """
+    below = depth + 1
+    if depth == DEEPEST:
+        return {f"{at}..."}
     if isinstance(record, dict) and record:
-        return set().union(*(field_paths(v, f"{at}.{k}" if at else k) for k, v in record.items()))
+        return set().union(*(field_paths(v, f"{at}.{k}" if at else k, below) for k, v in record.items()))
     if isinstance(record, list):
-        return set().union({f"{at}[]"} if not record else set(), *(field_paths(v, f"{at}[]") for v in record))
+        return set().union({f"{at}[]"} if not record else set(), *(field_paths(v, f"{at}[]", below) for v in record))
     return {at}
 
 
 def fingerprint(paths: set[str]) -> str:
-    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
+    return hashlib.sha256("\n".join(sorted(paths)).encode("utf-8", "surrogatepass")).hexdigest()[:16]
 
 
 def known_layouts(layouts: tuple[Layout, ...] = LAYOUTS) -> dict[str, Layout]:
@@ -100,12 +108,16 @@ def turns_of(record, known: dict[str, Layout]) -> tuple[str | None, list[tuple[s
     if layout.items:
         roles = dict(layout.roles)
         found = [(m.get(layout.role), m.get(layout.text)) for m in record[layout.items]]
-        return layout.name, [(roles.get(r, _text(r)), _text(t)) for r, t in found]
+        found = [(_text(r), _text(t)) for r, t in found]
+        return layout.name, [(roles.get(r, r), t) for r, t in found]
     return layout.name, [(r, _text(record[f])) for r, f in layout.fields if f in record]
 
 
 def _text(value) -> str:
-    return "" if value is None else value if isinstance(value, str) else json.dumps(value)
+    """Null is empty; what is no text is written as JSON; halves of surrogate pairs are replaced."""
+    if isinstance(value, str):
+        return _HALF.sub("\ufffd", value)
+    return "" if value is None else json.dumps(value)
 
 
 def escape(text: str) -> str:
@@ -145,15 +157,17 @@ def read_loss(formatted: str, spans: list[tuple[int, int]]) -> str:
 def canonical(df: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """The columns of ``df`` and a struct ``chat`` of layout and turns, from a JSON column.
 
-    Null, text that is no JSON and records of unknown layout have a null layout and no turns; null
-    texts and roles count as empty. A column named ``chat`` is replaced.
+    Null, text that is no JSON or nested too deeply to be read, and records of unknown layout have a
+    null layout and no turns. Null texts and roles count as empty, other values are written as JSON,
+    and halves of surrogate pairs, which no text can hold, become U+FFFD. Repeated rows stay, an
+    empty table stays empty, a column named ``chat`` is replaced.
     """
     known = known_layouts(layouts)
 
     def read(text: str | None):
         try:
             value = json.loads(text) if text else None
-        except ValueError:
+        except (ValueError, RecursionError):
             value = None
         return turns_of(value, known)
 
@@ -162,7 +176,11 @@ def canonical(df: DataFrame, record: str = "record", layouts: tuple[Layout, ...]
 
 
 def formatted(df: DataFrame, turns: str = "turns") -> DataFrame:
-    """The columns of ``df`` and a struct ``formatted`` of text and loss spans (code points)."""
+    """The columns of ``df`` and a struct ``formatted`` of text and loss spans (code points).
+
+    Null or no turns give an empty text and no spans, null roles and texts count as empty. Repeated
+    rows stay, an empty table stays empty, a column named ``formatted`` is replaced.
+    """
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     out = T.StructType(
         [T.StructField("text", T.StringType()), T.StructField("loss", T.ArrayType(span))]
@@ -175,7 +193,11 @@ def formatted(df: DataFrame, turns: str = "turns") -> DataFrame:
 
 
 def read_back(df: DataFrame, formatted: str = "formatted") -> DataFrame:
-    """The columns of ``df`` and a struct ``back`` of the turns and the text under the loss mask."""
+    """The columns of ``df`` and a struct ``back`` of the turns and the text under the loss mask.
+
+    A null struct or text has no turns and an empty loss text. Repeated rows stay, an empty table
+    stays empty, a column named ``back`` is replaced.
+    """
     out = T.StructType([T.StructField("turns", TURNS), T.StructField("loss_text", T.StringType())])
 
     def work(value):
