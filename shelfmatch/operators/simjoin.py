@@ -55,7 +55,7 @@ def distinct_values(keyed: DataFrame) -> DataFrame:
     return keyed.select("key", "value").dropDuplicates(["key"])
 
 
-def _verify(
+def verified(
     candidates: DataFrame, a: DataFrame, b: DataFrame, distance, threshold: float
 ) -> DataFrame:
     """Distances of the candidate key pairs, each pair once."""
@@ -134,7 +134,7 @@ def jaccard_join(
     candidates = _join_on_hashes(
         signed_a, signed_b, F.col("signature") if rows == 1 else banded
     )
-    pairs = _verify(candidates, sets_a, sets_b, _set_distance, threshold)
+    pairs = verified(candidates, sets_a, sets_b, _set_distance, threshold)
     return put_ids_back(pairs, keyed_a, keyed_b)
 
 
@@ -198,7 +198,7 @@ def jaccard_join_exact(
         )
 
     joined = skew_join(prefixes(sets_a, "a"), prefixes(sets_b, "b"), ["word"], ["key_a"], hot)
-    pairs = _verify(joined.where(_sizes_reach(s)), sets_a, sets_b, _set_distance, threshold)
+    pairs = verified(joined.where(_sizes_reach(s)), sets_a, sets_b, _set_distance, threshold)
     return put_ids_back(pairs, keyed_a, keyed_b)
 
 
@@ -239,7 +239,7 @@ def euclidean_join(
         candidates = _join_on_hashes(
             vectors_a.withColumn("buckets", buckets), vectors_b.withColumn("buckets", buckets), together
         )
-    pairs = _verify(candidates, vectors_a, vectors_b, euclidean, threshold)
+    pairs = verified(candidates, vectors_a, vectors_b, euclidean, threshold)
     return put_ids_back(pairs, keyed_a, keyed_b)
 
 
@@ -284,7 +284,7 @@ def distance_join_exact(
         near = F.explode(F.sequence(F.col(n) - 1, F.col(n) + 1))
         right = right.withColumn(n, near)
     candidates = skew_join(left, right, names, ["key_a"])
-    pairs = _verify(candidates, vectors_a, vectors_b, euclidean, radius)
+    pairs = verified(candidates, vectors_a, vectors_b, euclidean, radius)
     result = put_ids_back(pairs, keyed_a, keyed_b)
     if metric == "cosine":
         return result.withColumn("distance", F.col("distance") * F.col("distance") / 2)

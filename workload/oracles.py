@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from shelfmatch.functions import fixed_values as fixed
 from shelfmatch.functions.hashing import PRIME, hash_coefficients, unit_directions
+from workload.tables import NEAR, near_plan
 
 SPACES = "(' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 SPACE_CLASS = r"[ \t\n\x0B\f\r]"
@@ -421,6 +422,33 @@ dist AS (
   FROM eb a, centres b)"""
 
 
+MOVED = """mv AS (
+  SELECT a.id, list_transform(list_zip(a.v, b.v), lambda z: z[1] + (1 + a.id % 10) / 10 * z[2]) AS v
+  FROM eb a JOIN eb b ON b.id = a.id + 1),
+md AS (
+  SELECT a.id AS id_a, b.id AS id_b,
+         sqrt(list_sum(list_transform(list_zip(a.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance
+  FROM eb a, mv b)"""
+
+
+def planned_pairs() -> str:
+    """Pairs whose buckets of a table differ by one in a few projections at most."""
+    plan = near_plan()
+    rows = lambda source: (
+        f"SELECT id, band // {plan.per_table} AS t, list(bucket ORDER BY band) AS b "
+        f"FROM ({dot_rows(source, 'v', plan.per_table * plan.tables, plan.bucket_length)}) GROUP BY ALL"
+    )
+    return (
+        f"WITH {CENTRES}, {MOVED}, ta AS ({rows('eb')}), tb AS ({rows('mv')}), "
+        "steps AS (SELECT ta.id AS id_a, tb.id AS id_b, "
+        "list_transform(list_zip(ta.b, tb.b), lambda z: abs(z[1] - z[2])) AS step FROM ta JOIN tb USING (t)), "
+        "cand AS (SELECT DISTINCT id_a, id_b FROM steps "
+        f"WHERE list_max(step) <= 1 AND list_sum(step) <= {plan.flips}) "
+        "SELECT id_a, id_b, round(distance, 6) AS distance FROM md JOIN cand USING (id_a, id_b) "
+        f"WHERE distance < {NEAR}"
+    )
+
+
 def signatures(source: str, name: str, n: int = 5) -> str:
     values = " UNION ALL ".join(
         f"SELECT {i} AS band, {a} AS a, {b} AS b" for i, (a, b) in enumerate(hash_coefficients(n))
@@ -683,6 +711,9 @@ def oracle_sql() -> dict[str, str]:
         "lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS distance FROM eb a, eb b) WHERE distance < 1.05",
         "radius_join_cosine": f"WITH {CENTRES} SELECT id_a, id_b, round(cosine, 6) AS distance "
         "FROM dist WHERE cosine < 0.85",
+        "euclidean_join_planned": planned_pairs(),
+        "radius_join_moved": f"WITH {CENTRES}, {MOVED} SELECT id_a, id_b, round(distance, 6) AS distance "
+        f"FROM md WHERE distance < {NEAR}",
         "word_ppmi": with_(
             [*pair_words(),
              "t AS (SELECT pair_id, unnest(title) AS term, generate_subscripts(title, 1) AS pos FROM w)",

@@ -24,6 +24,7 @@ from shelfmatch.functions.vectors import (
     jaccard_distance,
     threshold,
 )
+from shelfmatch.operators import buckets as bu
 from shelfmatch.operators import features as fe
 from shelfmatch.operators import metrics as me
 from shelfmatch.operators import models as mo
@@ -270,6 +271,24 @@ def euclidean_join_close(spark, d):
     ).select("id_a", "id_b", r6("distance", "distance"))
 
 
+@query
+def euclidean_join_planned(spark, d):
+    """Vectors against moved ones, by buckets planned for a recall of 0.9."""
+    return bu.planned_join(
+        so.read_table(spark, d, "embeddings"), wt.moved_vectors(spark, d), "vec_id", "embedding",
+        wt.DIM, wt.NEAR, plan=wt.near_plan(),
+    ).select("id_a", "id_b", r6("distance", "distance"))
+
+
+@query
+def radius_join_moved(spark, d):
+    """All pairs that ``euclidean_join_planned`` looks for."""
+    return ra.radius_join(
+        so.read_table(spark, d, "embeddings"), wt.moved_vectors(spark, d), "vec_id", "embedding",
+        wt.DIM, wt.NEAR,
+    ).select("id_a", "id_b", r6("distance", "distance"))
+
+
 @query
 def euclidean_own_pairs(spark, d):
     v = wt.vector_pairs(spark, d)

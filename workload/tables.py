@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmatch.operators.buckets import BucketPlan, plan_buckets
 from shelfmatch.operators.relational import consolidate, pick_attribute
 from shelfmatch.sources.tables import read_table, spread
 
 DIM = 64  # length of the given embeddings
+NEAR = 0.65  # distance of vectors that belong together, of those that ``moved_vectors`` makes
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
@@ -112,3 +114,17 @@ def label_centres(spark: SparkSession, d: str) -> DataFrame:
         F.col("label").cast("long").alias("vec_id"),
         F.array(*[f"m{i}" for i in range(DIM)]).alias("embedding"),
     )
+
+
+def moved_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """``vec_id, embedding``: each embedding moved by 0.1 to 1.0 of the next one."""
+    e = read_table(spark, d, "embeddings").select("vec_id", "embedding")
+    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("_next"))
+    share = (F.lit(1) + F.col("vec_id") % 10) / 10
+    moved = F.zip_with("embedding", "_next", lambda x, y: x.cast("double") + share * y.cast("double"))
+    return e.join(after, "vec_id").select("vec_id", moved.alias("embedding"))
+
+
+def near_plan() -> BucketPlan:
+    """Buckets for 0.9 of the pairs at distance NEAR among some thousand vectors like the given ones."""
+    return plan_buckets(NEAR, DIM, 0.9, [1.3, 1.4, 1.5], (2000, 2000))
