@@ -53,19 +53,6 @@ def pick_attribute(attributes: DataFrame, name: str) -> DataFrame:
     return attributes.where(F.col("name") == name).select("product_uid", "value")
 
 
-def consolidate(
-    pairs: DataFrame, descriptions: DataFrame, attribute: DataFrame, spread: list[str]
-) -> DataFrame:
-    """Pairs with their product's description and attribute value.
-
-    Repeated keys on the right multiply, pairs without a match drop. A product may have any share
-    of the pairs.
-    """
-    hot = hot_keys(pairs, ["product_uid"])
-    described = skew_join(pairs, descriptions, ["product_uid"], spread, hot)
-    return skew_join(described, attribute, ["product_uid"], spread, hot)
-
-
 def prefix_columns(df: DataFrame, prefix: str, except_: list[str] = ()) -> DataFrame:
     return df.withColumnsRenamed({c: f"{prefix}{c}" for c in df.columns if c not in except_})
 

@@ -11,7 +11,7 @@ QUICK = [
     "distance_join_exact", "binary_metrics", "naive_bayes", "match_by_jaccard",
     "jaccard_join_close", "jaccard_join_banded", "euclidean_join_close", "select_features",
     "select_features_f", "linear", "linear_coefficients", "isotonic_boundaries", "radius_join", "radius_join_cosine",
-    "euclidean_join_planned", "radius_join_moved", "word_ppmi", "embed_with_table", "match_by_cosine",
+    "euclidean_join_planned", "radius_join_moved", "consolidate_join_split", "ranked_orders", "dense_ids", "split_by_quota", "word_ppmi", "embed_with_table", "match_by_cosine",
 ]
 
 

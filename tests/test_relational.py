@@ -48,19 +48,6 @@ def test_every_hot_key_is_cut_into_enough_parts(spark):
     assert re_.hot_keys(one, ["k"], 2).first()._parts == 2500
 
 
-def test_consolidate_multiplies_and_drops(spark):
-    pairs = spark.createDataFrame([(1, "q1"), (1, "q2"), (2, "q3"), (3, "q4")], "product_uid int, search_term string")
-    desc = spark.createDataFrame([(1, "d"), (1, "e"), (2, "f")], "product_uid int, product_description string")
-    attrs = spark.createDataFrame(
-        [(1, "brand", "b"), (1, "size", "9"), (2, "brand", "c"), (3, "brand", "d")],
-        "product_uid int, name string, value string",
-    )
-    brand = re_.pick_attribute(attrs, "brand")
-    got = re_.consolidate(pairs, desc, brand, ["search_term"])
-    want = pairs.join(desc, "product_uid").join(brand, "product_uid")
-    assert rows(got.select(want.columns)) == rows(want) and got.count() == 5
-
-
 def test_fields_there_and_back(spark):
     df = spark.createDataFrame([(1, "a", "b"), (2, "c", None)], "pair_id int, t string, q string")
     long = re_.unpivot_fields(df, ["t", "q"], ["pair_id"])

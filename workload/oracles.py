@@ -661,6 +661,9 @@ def oracle_sql() -> dict[str, str]:
         "CAST(trunc(TRY_CAST(relevance AS DOUBLE)) AS BIGINT) AS whole FROM b",
         "consolidate_join": "SELECT l_partkey AS product_uid, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
         "p_name AS product_description, p_brand AS value FROM lineitem JOIN part ON p_partkey = l_partkey",
+        "consolidate_join_split": "SELECT l_partkey AS product_uid, l_orderkey, CAST(l_linenumber AS BIGINT) AS "
+        "l_linenumber, p_name AS product_description, unnest([p_brand, p_type]) AS value "
+        "FROM lineitem JOIN part ON p_partkey = l_partkey",
         "rated_pairs": with_(PAIRS, "SELECT * FROM pairs"),
         "jaccard_own_pairs": with_(
             OWN_JACCARD,
@@ -740,6 +743,12 @@ def oracle_sql() -> dict[str, str]:
         "top_k": "SELECT p_partkey, p_name FROM part ORDER BY p_partkey DESC LIMIT 500",
         "split_by_key": f"SELECT o_orderkey, CASE WHEN {share('o_orderkey')} < 0.6 THEN 'train' ELSE 'test' END "
         "AS part FROM orders",
+        "ranked_orders": "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS rank FROM orders",
+        "dense_ids": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, "
+        "row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS row_id FROM lineitem",
+        "split_by_quota": "SELECT o_orderkey, o_orderstatus, CASE WHEN row_number() OVER (PARTITION BY o_orderstatus "
+        "ORDER BY md5('42:' || o_orderkey), o_orderkey::VARCHAR) <= floor(count(*) OVER (PARTITION BY o_orderstatus) * 0.6 + 0.5) "
+        "THEN 'train' ELSE 'test' END AS part FROM orders",
         "lower_all": "SELECT doc_id, lower(text) AS text FROM documents",
         "strip_punct": f"SELECT doc_id, {punct('text')} AS text FROM documents",
         "strip_html": f"SELECT page_id, {html('html')} AS text FROM pages",

@@ -26,8 +26,10 @@ from shelfmatch.functions.vectors import (
 )
 from shelfmatch.operators import buckets as bu
 from shelfmatch.operators import features as fe
+from shelfmatch.operators import hotkeys as hk
 from shelfmatch.operators import metrics as me
 from shelfmatch.operators import models as mo
+from shelfmatch.operators import order as od
 from shelfmatch.operators import radius as ra
 from shelfmatch.operators import relational as re_
 from shelfmatch.operators import simjoin as sj
@@ -103,7 +105,7 @@ def csv_scan(spark, d):
         ).csv(f"{folder}/{name}")
     columns = {name: df.columns for name, df in tables.items()}
     train, descriptions, attributes = so.read_relevance_csv(spark, folder, columns, multi_line=True)
-    return re_.consolidate(
+    return hk.consolidate(
         train, descriptions, re_.pick_attribute(attributes, "brand"), ["search_term"]
     ).select(
         "product_uid",
@@ -211,12 +213,27 @@ def consolidate_join(spark, d):
         F.col("p_partkey").alias("product_uid"), F.col("p_name").alias("product_description")
     )
     brands = re_.pick_attribute(wt.attributes(spark, d), "brand")
-    return re_.consolidate(lines, names, brands, ["l_orderkey", "l_linenumber"]).select(
+    return hk.consolidate(lines, names, brands, ["l_orderkey", "l_linenumber"]).select(
         "product_uid", "l_orderkey", big("l_linenumber", "l_linenumber"), "product_description",
         "value",
     )
 
 
+@query
+def consolidate_join_split(spark, d):
+    """``consolidate_join`` with so few rows to a task that most products are cut into a grid."""
+    lines = so.read_table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("product_uid"), "l_orderkey", "l_linenumber"
+    )
+    names = so.read_table(spark, d, "part").select(
+        F.col("p_partkey").alias("product_uid"), F.col("p_name").alias("product_description")
+    )
+    both = wt.attributes(spark, d).select("product_uid", "value")  # brand and type, so two a product
+    return hk.consolidate(lines, names, both, ["l_orderkey", "l_linenumber"], hot_rows=1).select(
+        "product_uid", "l_orderkey", big("l_linenumber", "l_linenumber"), "product_description", "value"
+    )
+
+
 @query
 def rated_pairs(spark, d):
     return wt.pairs(spark, d)
@@ -377,6 +394,31 @@ def top_k(spark, d):
     return re_.top_k(parts, [F.desc("p_partkey")], 500)
 
 
+@query
+def ranked_orders(spark, d):
+    """All orders by price, the dearest first, with their rank."""
+    orders = so.read_table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return od.with_rank(orders, [F.desc("o_totalprice"), F.asc("o_orderkey")]).select(
+        "o_orderkey", big("rank", "rank")
+    )
+
+
+@query
+def dense_ids(spark, d):
+    lines = so.read_table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return od.with_dense_id(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]).select(
+        "l_orderkey", big("l_linenumber", "l_linenumber"), "l_partkey", "l_suppkey", big("row_id", "row_id")
+    )
+
+
+@query
+def split_by_quota(spark, d):
+    """60 and 40 of each class of orders, to the row."""
+    orders = so.read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    first, second = od.split_by_quota(orders, "o_orderkey", "o_orderstatus", [0.6, 0.4], 42)
+    return first.withColumn("part", F.lit("train")).unionAll(second.withColumn("part", F.lit("test")))
+
+
 @query
 def split_by_key(spark, d):
     lines = so.read_table(spark, d, "orders").select("o_orderkey")

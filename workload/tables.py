@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmatch.operators.buckets import BucketPlan, plan_buckets
-from shelfmatch.operators.relational import consolidate, pick_attribute
+from shelfmatch.operators.hotkeys import consolidate
+from shelfmatch.operators.relational import pick_attribute
 from shelfmatch.sources.tables import read_table, spread
 
 DIM = 64  # length of the given embeddings
