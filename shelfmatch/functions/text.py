@@ -206,7 +206,9 @@ def trim_empty_tail(tokens: Column | str) -> Column:
 
 
 def term_counts(tokens: Column | str) -> Column:
-    """Distinct words of a row with their counts, ``array<struct<term, n>>`` in term order."""
+    """Distinct words of a row with their counts, ``array<struct<term, n>>`` in term order.
+
+    Null words count nothing."""
 
     def runs(s: Column) -> Column:
         starts = F.filter(
@@ -224,10 +226,9 @@ def term_counts(tokens: Column | str) -> Column:
             ),
         )
 
-    t = _col(tokens)
-    return F.when(F.size(t) > 0, let(F.sort_array(t), runs)).otherwise(
-        F.array().cast("array<struct<term:string,n:bigint>>")
-    )
+    words = F.filter(_col(tokens), lambda w: w.isNotNull())
+    none = F.array().cast("array<struct<term:string,n:bigint>>")
+    return F.coalesce(let(F.sort_array(words), lambda s: F.when(F.size(s) > 0, runs(s))), none)
 
 
 def _numbered(tokens: Column) -> Column:

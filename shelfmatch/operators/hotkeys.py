@@ -1,14 +1,16 @@
 """Joins whose hot keys, of either side, are spread over a grid of tasks.
 
 Which keys are hot comes from a mergeable sketch of frequent items that each task fills and that is
-put together on the way to the driver: no shuffle of counts. It can be taken while the rows are
-written, so that they are read once. A key of more than two in TRACKED / 3.5 of the rows is sure to
-be found; counts may be over the truth, never under it, by that share.
+put together on the way to the driver: no shuffle of counts. Rows that are dear to compute are
+written first, and the sketch reads the keys of what was written. (Taking it while they are written,
+as observed metrics, leaves a session in which Spark ML can't send its models to tasks.) A key of
+more than 3.5 in TRACKED of the rows is sure to be found, and its count is over the truth by that
+share at most.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmatch.operators.relational import HOT_ROWS
@@ -32,22 +34,18 @@ def _sketch(on: list[str], tracked: int) -> Column:
     return F.expr(f"approx_top_k({hashed}, {tracked}, {tracked})").alias("top")
 
 
-def _counts(top) -> dict[int, int]:
-    return {r["item"]: r["count"] for r in top or []}
-
-
 def frequent_keys(df: DataFrame, on: list[str], tracked: int = TRACKED) -> dict[int, int]:
     """Hash and number of rows of the most frequent keys; reads the keys alone."""
-    return _counts(df.agg(_sketch(on, tracked)).first()["top"])
+    return {r["item"]: r["count"] for r in df.agg(_sketch(on, tracked)).first()["top"] or []}
 
 
 def kept_with_frequent_keys(
     df: DataFrame, on: list[str], tracked: int = TRACKED
 ) -> tuple[DataFrame, dict[int, int]]:
-    """The rows, written once, and their most frequent keys, found on the way."""
-    seen = Observation()
-    kept = cut_lineage(df.observe(seen, _sketch(on, tracked)))
-    return kept, _counts(seen.get.get("top"))
+    """The rows, computed and written once, and their most frequent keys, from the key columns of
+    what was written."""
+    kept = cut_lineage(df)
+    return kept, frequent_keys(kept, on, tracked)
 
 
 def is_hot(key: int, left_counts: dict[int, int], right_counts: dict[int, int], hot_rows: int) -> bool:
@@ -128,8 +126,7 @@ def consolidate(
 ) -> DataFrame:
     """Pairs with their product's description and attribute value.
 
-    The pairs are read once: they are written while their hot products are found, which serve both
-    joins. Repeated keys on the right multiply, pairs without a match drop, and a product may have
+    The pairs are computed once and written; the hot products among them serve both joins. Repeated keys on the right multiply, pairs without a match drop, and a product may have
     any share of the rows of any table.
     """
     on = ["product_uid"]

@@ -65,7 +65,7 @@ def test_no_place_of_the_grid_gets_many_rows(sides):
     assert dealt[1].where("k = 8").select(hk.COLUMN).distinct().count() == 2
 
 
-def test_rows_are_kept_and_counted_in_one_pass(spark, sides):
+def test_rows_are_computed_once(spark, sides):
     left, _ = sides
     seen = spark.sparkContext.accumulator(0)
 

@@ -61,7 +61,7 @@ def test_regression(pairs):
 
 
 def test_match_by_jaccard_modes(pairs):
-    counted = match.count_pairs(pairs)
+    counted = match.term_pairs(pairs)
     every = match.jaccard_predictions(counted, rows_per_side=None, keep_unmatched=True).count()
     touching = match.jaccard_predictions(counted, rows_per_side=None).count()
     assert touching <= every <= pairs.count()
@@ -100,15 +100,37 @@ def test_match_words_by_cosine(spark):
     assert (high.TP, high.FN) == (1, 1)
 
 
-def test_match_by_euclidean_sparse_is_dense(pairs):
+def test_term_pairs_are_count_vectors(pairs):
+    """Against Spark ML's vocabulary and vectors of the same stems."""
     from pyspark.ml.functions import vector_to_array
 
-    counted = match.count_pairs(pairs)
-    plain = F.unwrap_udt(F.col("title_vector"))["indices"]
-    other = F.unwrap_udt(F.col("query_vector"))["indices"]
-    dense = counted.where((F.size(plain) > 0) & (F.size(other) > 0)).withColumns(
-        {c: vector_to_array(c) for c in ("title_vector", "query_vector")}
-    )
+    from shelfmatch.operators.features import count_vectors, fit_count_vectors
+
+    words = match.stemmed_sides(pairs, [1.5])
+    model = fit_count_vectors(words, "title")
+    for f in ("title", "query"):
+        words = count_vectors(words, f, model).withColumn(f"{f}_vector", vector_to_array("features")).drop("features")
+    want = {}
+    for r in words.collect():
+        t, q = r.title_vector, r.query_vector
+        n = (sum(x > 0 for x in t), sum(x > 0 for x in q), sum(x > 0 and y > 0 for x, y in zip(t, q)))
+        if any(n):
+            want[r.pair_id] = (*n, int(sum((x - y) ** 2 for x, y in zip(t, q))))
+    counted = match.term_pairs(pairs)
+    got = {r.pair_id: (r.n_title, r.n_query, r.n_both, r.square) for r in counted.collect()}
+    assert got == want
     for cut in (5.0, 15.0):
-        a, b = (match.euclidean_predictions(x, cut, None) for x in (counted, dense))
-        assert sorted(a.collect()) == sorted(b.collect())
+        rows = match.euclidean_predictions(counted, cut).collect()
+        assert {r.pair_id: r.prediction for r in rows} == {
+            i: int(sq**0.5 <= cut) for i, (t, q, _, sq) in want.items() if t and q
+        }
+
+
+def test_match_by_jaccard_joined(pairs):
+    """Pairs that the join finds, each judged as it is by itself."""
+    counted = match.term_pairs(pairs)
+    alone = {r.pair_id: r.prediction for r in match.jaccard_predictions(counted, keep_unmatched=False).collect()}
+    found = match.joined_predictions(pairs, hashes=40).collect()
+    assert {(r.pair_id, r.prediction) for r in found} <= set(alone.items()) and len(found) > 0.5 * len(alone)
+    with pytest.raises(ValueError):
+        match.match_by_jaccard(pairs, by="other")

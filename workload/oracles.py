@@ -284,7 +284,27 @@ judged AS (
     ]
 
 
-def euclid_judged(top: int | None, cut: float) -> list[str]:
+def joined_judged(top: int) -> list[str]:
+    """Titles and queries of one id that share a MinHash and a term."""
+    side = lambda f: (
+        f"SELECT pair_id AS id, stem AS term FROM sc WHERE field = '{f}' AND pair_id IN "
+        f"(SELECT DISTINCT pair_id FROM sc WHERE field = '{f}' ORDER BY pair_id DESC LIMIT {top})"
+    )
+    return [
+        *stemmed_counts(["title", "query"]),
+        f"ta AS ({side('title')})", f"tb AS ({side('query')})",
+        signatures("ta", "ha"), signatures("tb", "hb"),
+        "cand AS (SELECT DISTINCT id FROM ha JOIN hb USING (id, band, h))",
+        "na AS (SELECT id, count(*) AS a FROM ta GROUP BY id)", "nb AS (SELECT id, count(*) AS b FROM tb GROUP BY id)",
+        "nc AS (SELECT id, count(*) AS c FROM ta JOIN tb USING (id, term) GROUP BY id)",
+        """judged AS (
+  SELECT CASE WHEN 1 - c::DOUBLE / (a + b - c) > 0.95 THEN 0 ELSE 1 END AS prediction,
+         CASE WHEN relevance >= 1.5 THEN 1 ELSE 0 END AS relevance
+  FROM cand JOIN na USING (id) JOIN nb USING (id) JOIN nc USING (id) JOIN w ON w.pair_id = id)""",
+    ]
+
+
+def euclid_judged(top: int | None, cut: float, below: str = "") -> list[str]:
     sides = []
     for f in ("title", "query"):
         limit = f"ORDER BY pair_id DESC LIMIT {top}" if top else ""
@@ -302,7 +322,7 @@ def euclid_judged(top: int | None, cut: float) -> list[str]:
 judged AS (
   SELECT CASE WHEN distance > {cut} THEN 0 ELSE 1 END AS prediction,
          CASE WHEN relevance >= 1.5 THEN 1 ELSE 0 END AS relevance
-  FROM tq JOIN w USING (pair_id) WHERE distance < 1000)""",
+  FROM tq JOIN w USING (pair_id) {below})""",
     ]
 
 
@@ -717,6 +737,20 @@ def oracle_sql() -> dict[str, str]:
         "euclidean_join_planned": planned_pairs(),
         "radius_join_moved": f"WITH {CENTRES}, {MOVED} SELECT id_a, id_b, round(distance, 6) AS distance "
         f"FROM md WHERE distance < {NEAR}",
+        "term_model": with_(
+            [*doc, counts("dw", "doc_id", "words", "c"),
+             "v AS (SELECT term, sum(n) AS tf, count(*) AS df FROM c GROUP BY term HAVING count(*) >= 5)"],
+            "SELECT doc_id, term, n, tf::BIGINT AS tf, df FROM c JOIN v USING (term)",
+        ),
+        "tfidf_fields": with_(
+            [*pair_words(),
+             "f AS (SELECT pair_id, 'title' AS field, unnest(title) AS term FROM w UNION ALL "
+             "SELECT pair_id, 'query', unnest(query) FROM w UNION ALL SELECT pair_id, 'desc', unnest(descr) FROM w)",
+             "c AS (SELECT pair_id, field, term, count(*) AS tf FROM f GROUP BY ALL)",
+             "v AS (SELECT term, count(*) AS df FROM c WHERE field = 'title' GROUP BY term)"],
+            "SELECT pair_id, field, term, tf, round(tf * ln(((SELECT count(*) FROM w) + 1.0::DOUBLE) / "
+            "(coalesce(df, 0) + 1.0::DOUBLE)), 6) AS weight FROM c LEFT JOIN v USING (term)",
+        ),
         "word_ppmi": with_(
             [*pair_words(),
              "t AS (SELECT pair_id, unnest(title) AS term, generate_subscripts(title, 1) AS pos FROM w)",
@@ -933,6 +967,7 @@ h AS (SELECT label = CASE WHEN s >= 0.15 THEN 3 WHEN s >= 0.1 THEN 2 WHEN s >= 0
         "match_by_cosine": cosine_sql(),
         "match_by_jaccard": metrics(jaccard_judged(None, True)),
         "match_by_jaccard_top500": metrics(jaccard_judged(500, False)),
+        "match_by_jaccard_joined": metrics(joined_judged(500)),
         "match_by_euclidean": metrics(euclid_judged(None, 5.0)),
-        "match_by_euclidean_top500": metrics(euclid_judged(500, 20.0)),
+        "match_by_euclidean_top500": metrics(euclid_judged(500, 20.0, "WHERE distance < 1000")),
     }

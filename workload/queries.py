@@ -33,6 +33,7 @@ from shelfmatch.operators import order as od
 from shelfmatch.operators import radius as ra
 from shelfmatch.operators import relational as re_
 from shelfmatch.operators import simjoin as sj
+from shelfmatch.operators import termmodels as tm
 from shelfmatch.operators import wordvectors as wv
 from shelfmatch.plans import match
 from shelfmatch.plans.classify import classification_frames, classify_relevance, pca_frames
@@ -677,6 +678,25 @@ def word2vec_words(spark, d):
     return vectors.select("word", big(F.size(vector_to_array("vector")), "size"))
 
 
+@query
+def term_model(spark, d):
+    """A vocabulary written in buckets, loaded as another table and joined: each term of each document."""
+    words, path, name = kept_doc_words(spark, d), scratch(spark), f"terms_{uuid.uuid4().hex}"
+    tm.save_term_table(tm.vocabulary(words, "words"), name, path)
+    model = tm.load_term_table(spark, f"{name}_again", path)
+    found = tm.join_model(tm.field_terms(words, "doc_id", ["words"]), model)
+    return found.select("doc_id", "term", big("n", "n"), big("tf", "tf"), big("df", "df"))
+
+
+@query
+def tfidf_fields(spark, d):
+    """One IDF, fitted on the titles, applied to three fields."""
+    words = so.cut_lineage(pair_words(spark, d))
+    return tm.tfidf_fields(
+        words, "pair_id", ["title", "query", "desc"], fe.term_stats(words, "title"), words.count()
+    ).select("pair_id", "field", "term", big("tf", "tf"), r6("weight", "weight"))
+
+
 @query
 def word_ppmi(spark, d):
     """Words of the titles that stand near each other more often than chance."""
@@ -1022,13 +1042,18 @@ def match_by_jaccard_top500(spark, d):
     )
 
 
+@query
+def match_by_jaccard_joined(spark, d):
+    """The 500 highest ids of each side through the approximate join."""
+    return _rounded(match.match_by_jaccard(wt.pairs(spark, d), rows_per_side=500, by="join"))
+
+
 @query
 def match_by_euclidean(spark, d):
-    counted = match.count_pairs(wt.pairs(spark, d))
-    return _rounded(match.match_by_euclidean(counted, 5.0, below=1000.0))
+    return _rounded(match.match_by_euclidean(match.term_pairs(wt.pairs(spark, d)), 5.0))
 
 
 @query
 def match_by_euclidean_top500(spark, d):
-    counted = match.count_pairs(wt.pairs(spark, d))
+    counted = match.term_pairs(wt.pairs(spark, d))
     return _rounded(match.match_by_euclidean(counted, 20.0, rows_per_side=500, below=1000.0))
