@@ -59,11 +59,13 @@ def label_names(indexer, prediction: str = "prediction", out: str = "predicted_l
     return IndexToString(inputCol=prediction, outputCol=out, labels=indexer.labels)
 
 
-def forest_pipeline(train: DataFrame, cols, num_trees=1000, max_categories=4, seed=42) -> Pipeline:
+def forest_pipeline(
+    train: DataFrame, cols, num_trees=1000, max_categories=4, seed=42, **more
+) -> Pipeline:
     """Index the label and the few-valued features, grow a forest, name the predicted label."""
     labels = label_indexer(train, cols["labelCol"])
     forest = RandomForestClassifier(
-        labelCol="indexed_label", featuresCol="indexed_features", numTrees=num_trees, seed=seed
+        labelCol="indexed_label", featuresCol="indexed_features", numTrees=num_trees, seed=seed, **more
     )
     features = feature_indexer(cols["featuresCol"], max_categories=max_categories)
     return Pipeline(stages=[labels, features, forest, label_names(labels)])
@@ -79,16 +81,16 @@ def _glm(cols, max_iter=10000, reg=0.3):
     )
 
 
-def _tree(cols, seed=42):
-    return DecisionTreeRegressor(seed=seed, **cols)
+def _tree(cols, seed=42, **more):
+    return DecisionTreeRegressor(seed=seed, **cols, **more)
 
 
-def _rf_reg(cols, num_trees=20, seed=42):
-    return RandomForestRegressor(numTrees=num_trees, seed=seed, **cols)
+def _rf_reg(cols, num_trees=20, seed=42, **more):
+    return RandomForestRegressor(numTrees=num_trees, seed=seed, **cols, **more)
 
 
-def _gbt(cols, rounds=20, seed=42):
-    return GBTRegressor(maxIter=rounds, seed=seed, **cols)
+def _gbt(cols, rounds=20, seed=42, **more):
+    return GBTRegressor(maxIter=rounds, seed=seed, **cols, **more)
 
 
 def _isotonic(cols, feature_index=0):

@@ -11,7 +11,8 @@ QUICK = [
     "distance_join_exact", "binary_metrics", "naive_bayes", "match_by_jaccard",
     "jaccard_join_close", "jaccard_join_banded", "euclidean_join_close", "select_features",
     "select_features_f", "linear", "linear_coefficients", "isotonic_boundaries", "radius_join", "radius_join_cosine",
-    "euclidean_join_planned", "radius_join_moved", "consolidate_join_split", "term_model", "tfidf_fields", "match_by_jaccard_joined", "match_by_euclidean", "ranked_orders", "dense_ids", "split_by_quota", "word_ppmi", "embed_with_table", "match_by_cosine",
+    "euclidean_join_planned", "radius_join_moved", "consolidate_join_split", "tree_split", "rf_class_split", "gbt_split", "importances_split", "logistic_equations",
+    "ovr_equations", "pca_covariances", "empty_tables", "classify_naive_bayes_table", "rf_reg_split", "term_model", "tfidf_fields", "match_by_jaccard_joined", "match_by_euclidean", "ranked_orders", "dense_ids", "split_by_quota", "word_ppmi", "embed_with_table", "match_by_cosine",
 ]
 
 

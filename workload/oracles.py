@@ -518,6 +518,59 @@ scores AS (
     )
 
 
+def split_blocks(y: str) -> list[str]:
+    """``best``: the one cut of the training rows that leaves the least variance of ``y``."""
+    return [
+        *features(),
+        FEATURE_ROWS,
+        f"tr AS (SELECT *, {y} AS y, {share('pair_id')} < 0.6 AS training FROM fr)",
+        "byx AS (SELECT pos, x, count(*) AS n, sum(y) AS s FROM tr WHERE training GROUP BY pos, x)",
+        """cum AS (
+  SELECT pos, x, lead(x) OVER up AS after, sum(n) OVER up AS nl, sum(s) OVER up AS sl,
+         sum(n) OVER (PARTITION BY pos) AS nt, sum(s) OVER (PARTITION BY pos) AS st
+  FROM byx WINDOW up AS (PARTITION BY pos ORDER BY x))""",
+        """best AS (
+  SELECT pos, (x + after) / 2 AS cut, sl / nl AS low, (st - sl) / (nt - nl) AS high FROM cum
+  WHERE after IS NOT NULL ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC, pos, x LIMIT 1)""",
+    ]
+
+
+def split_sql() -> str:
+    return with_(
+        split_blocks("relevance"),
+        "SELECT pair_id, relevance, round(CASE WHEN x <= cut THEN low ELSE high END, 6) AS prediction "
+        "FROM tr JOIN best USING (pos) WHERE NOT training",
+    )
+
+
+def class_split_sql() -> str:
+    """Labels numbered by how often they occur; the more frequent one of a side is predicted."""
+    high = "CASE WHEN relevance >= 2.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+    return with_(
+        [
+            *split_blocks(high),
+            "named AS (SELECT CASE WHEN y = 1 THEN 'high' ELSE 'low' END AS label, count(*) AS n FROM tr "
+            "WHERE training AND pos = 0 GROUP BY ALL)",
+            "numbered AS (SELECT label, (row_number() OVER (ORDER BY n DESC, label) - 1)::DOUBLE AS number FROM named)",
+            "told AS (SELECT pair_id, CASE WHEN y = 1 THEN 'high' ELSE 'low' END AS label, "
+            "CASE WHEN x <= cut THEN low ELSE high END AS p FROM tr JOIN best USING (pos) WHERE NOT training)",
+            "guess AS (SELECT *, CASE WHEN p > 0.5 OR (p = 0.5 AND (SELECT number FROM numbered WHERE label = 'high') = 0) "
+            "THEN 'high' ELSE 'low' END AS predicted_label FROM told)",
+        ],
+        "SELECT pair_id, label, a.number AS indexed_label, b.number AS prediction, predicted_label "
+        "FROM guess JOIN numbered a USING (label) JOIN numbered b ON b.label = predicted_label",
+    )
+
+
+def shares_sql(y: str, more: str = "", extra: str = "") -> str:
+    """Means of ``y`` over the training rows, weighted by each feature."""
+    rows = f"(SELECT *, {y} AS target FROM tr{extra} WHERE training)"
+    return (
+        f"SELECT feature, round(sum(target * x) / sum(x), 3) AS share{more} FROM {rows} GROUP BY ALL "
+        f"UNION ALL SELECT '(intercept)', round(avg(target), 3){more} FROM {rows} WHERE pos = 0 GROUP BY ALL"
+    )
+
+
 def ridge_blocks(reg: float) -> list[str]:
     """``beta(pos, b)`` of a ridge regression by its normal equations: covariances of the training
     rows, a penalty in proportion to each variance, and elimination of one feature after another."""
@@ -926,6 +979,33 @@ def oracle_sql() -> dict[str, str]:
             "FROM pts JOIN fit USING (i) GROUP BY round(prediction, 6)",
         ),
         "linear": ridge_sql(0.1),
+        "tree_split": split_sql(),
+        "rf_reg_split": split_sql(),
+        "gbt_split": split_sql(),
+        "rf_class_split": class_split_sql(),
+        "importances_split": with_(
+            split_blocks("relevance"),
+            "SELECT feature, CASE WHEN pos = (SELECT pos FROM best) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance "
+            "FROM (SELECT DISTINCT pos, feature FROM tr)",
+        ),
+        "logistic_equations": with_(
+            split_blocks("relevance")[:-2],
+            shares_sql("CASE WHEN relevance >= 2.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"),
+        ),
+        "ovr_equations": with_(
+            [*split_blocks("relevance")[:-2], "classes AS (SELECT unnest(range(0, 3)) AS class)"],
+            shares_sql("CASE WHEN relevance - 1 = class THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END", ", class", ", classes"),
+        ),
+        "pca_covariances": with_(
+            split_blocks("relevance")[:-2],
+            "SELECT a.feature AS one, b.feature AS two, round(covar_samp(a.x, b.x), 3) AS covariance "
+            "FROM tr a JOIN tr b USING (pair_id) WHERE a.training GROUP BY a.feature, b.feature",
+        ),
+        "classify_naive_bayes_table": "SELECT 'naive_bayes' AS model, "
+        "round(avg((label = prediction)::INT::DOUBLE), 6) AS accuracy, "
+        f"round(1 - avg((label = prediction)::INT::DOUBLE), 6) AS error FROM ({naive_bayes_sql()})",
+        "empty_tables": "SELECT s.size AS p_size, count(p_size) = 0 AS empty FROM (SELECT unnest([0, 1, 25, 50, 51])::BIGINT AS size) s "
+        "LEFT JOIN part ON p_size = s.size GROUP BY s.size",
         "glm": ridge_sql(0.3),
         "linear_coefficients": with_(
             [*ridge_blocks(0.1), "names AS (SELECT DISTINCT pos, feature FROM fr)"],

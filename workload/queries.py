@@ -7,6 +7,7 @@ with the SQL in ``oracles``. Lists are given as rows or as text joined by "|".
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -948,6 +949,125 @@ def importances(spark, d):
     return mo.importances(mo.train(train_df, "rf_reg", label="relevance"), OVERLAP_FEATURES)
 
 
+# --- fits that SQL can do as well: one split, or the equations a fit must solve -------------------
+
+EXACT = {"maxDepth": 1, "maxBins": 10_000}  # one split, between any two neighbouring values
+ALL_ROWS = {"num_trees": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+
+
+def _stump(spark, d, kind, **params):
+    return _regressed(spark, d, kind, **params).select(
+        "pair_id", "relevance", r6("prediction", "prediction")
+    )
+
+
+@query
+def tree_split(spark, d):
+    return _stump(spark, d, "tree", **EXACT)
+
+
+@query
+def rf_reg_split(spark, d):
+    return _stump(spark, d, "rf_reg", **EXACT, **ALL_ROWS)
+
+
+@query
+def gbt_split(spark, d):
+    """The first round of boosting fits the labels."""
+    return _stump(spark, d, "gbt", rounds=1, **EXACT)
+
+
+@query
+def importances_split(spark, d):
+    train_df, _ = _scalar_frames(spark, d)
+    model = mo.train(train_df, "rf_reg", label="relevance", **EXACT, **ALL_ROWS)
+    return mo.importances(model, OVERLAP_FEATURES)
+
+
+def _high_frames(spark, d):
+    """Scalar features and whether the relevance is 2.5 or more."""
+    label = F.when(F.col("relevance") >= 2.5, "high").otherwise("low").alias("label")
+    frame = _scalar_frame(spark, d).select("pair_id", label, "features")
+    return re_.split_by_key(frame, "pair_id")
+
+
+@query
+def rf_class_split(spark, d):
+    """Labels and features numbered, one split, the predicted label named again."""
+    train_df, test_df = _high_frames(spark, d)
+    model = mo.train(train_df, "rf_class", max_categories=2, **EXACT, **ALL_ROWS)
+    return mo.score(model, test_df).select(
+        "pair_id", "label", "indexed_label", "prediction", "predicted_label"
+    )
+
+
+def _shares(scored: DataFrame, score: Column) -> DataFrame:
+    """Mean score weighted by each feature, as ``feature, share``."""
+    x = vector_to_array("features")
+    weighted = [
+        r6(F.round(F.sum(score * F.get(x, F.lit(i))) / F.sum(F.get(x, F.lit(i))), 3), n)
+        for i, n in enumerate(OVERLAP_FEATURES)
+    ]
+    sums = scored.agg(*weighted, r6(F.round(F.avg(score), 3), "(intercept)"))
+    return sums.unpivot([], ["(intercept)", *OVERLAP_FEATURES], "feature", "share")
+
+
+@query
+def logistic_equations(spark, d):
+    """Weighted by a feature, fitted probabilities and labels have the same sum."""
+    train_df, _ = _high_frames(spark, d)
+    numbered = train_df.withColumn("label", F.when(F.col("label") == "high", 1.0).otherwise(0.0))
+    model = mo.train(numbered, "logistic", tol=1e-9)
+    return _shares(mo.score(model, numbered), F.get(vector_to_array("probability"), F.lit(1)))
+
+
+@query
+def ovr_equations(spark, d):
+    """The same for the model of each class against the rest."""
+    frame = _scalar_frame(spark, d).withColumn("label", F.col("relevance") - 1)
+    train_df, _ = re_.split_by_key(frame, "pair_id")
+    model = mo.train(train_df, "ovr", tol=1e-9)
+    out = []
+    for c, one in enumerate(model.models):
+        scored = one.transform(train_df.select("features"))
+        shares = _shares(scored, F.get(vector_to_array("probability"), F.lit(1)))
+        out.append(shares.withColumn("class", big(F.lit(c), "class")))
+    return reduce(DataFrame.unionAll, out)
+
+
+@query
+def pca_covariances(spark, d):
+    """Covariances of the features, put together from all components and their variances."""
+    train_df, _ = _scalar_frames(spark, d)
+    names, n = OVERLAP_FEATURES, len(OVERLAP_FEATURES)
+    model = fe.fit_pca(train_df, n)
+    total = train_df.agg(*[F.var_samp(F.get(vector_to_array("features"), F.lit(i))) for i in range(n)]).first()
+    variance = [v * sum(total) for v in model.explainedVariance.toArray()]
+    parts = model.pc.toArray()
+    rows = [
+        (names[i], names[j], float(sum(variance[k] * parts[i, k] * parts[j, k] for k in range(n))))
+        for i in range(n) for j in range(n)
+    ]
+    made = spark.createDataFrame(rows, "one string, two string, covariance double")
+    return made.select("one", "two", F.round("covariance", 3).alias("covariance"))
+
+
+@query
+def classify_naive_bayes_table(spark, d):
+    table = classify_relevance(wt.pairs(spark, d), models=["naive_bayes"])
+    return table.select("model", r6("accuracy", "accuracy"), r6("error", "error"))
+
+
+@query
+def empty_tables(spark, d):
+    """Whether parts of each class of brands are there."""
+    part = so.read_table(spark, d, "part")
+    rows = [
+        (size, so.is_empty(part.where(F.col("p_size") == size))) for size in (0, 1, 25, 50, 51)
+    ]
+    return spark.createDataFrame(rows, "p_size int, empty boolean").select(big("p_size", "p_size"), "empty")
+
+
 # --- evaluation ----------------------------------------------------------------------------------
 
 
