@@ -2,7 +2,8 @@
 
 The pieces are those of a fixed public vocabulary. A language gives each piece a probability; the
 probability of a word is the sum over all ways to cut it into pieces, which a forward pass computes
-left to right. A text is as likely as its words together.
+left to right. A text is as likely as its words together. How likely it is for its length tells
+whether it is in any learnt language at all.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import and_
 
 import ahocorasick
 import numpy as np
@@ -24,12 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .kept import keep
 from .worker import held
 
 VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"  # fixed value: how the vocabulary marks the beginning of a word
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 300  # texts a language is learnt from
+FLOOR = 2.75  # times the log-likelihood of a language's characters, below which text is in none
 ROUNDS = 2  # of expectation and maximisation
 KNOWN_WORDS = 250_000  # words a worker remembers with their scores
 STRANGER = 1e-7  # probability of a character that the vocabulary lacks, in any language
@@ -130,6 +134,30 @@ def _table(probabilities: np.ndarray) -> np.ndarray:
     return np.vstack([probabilities, np.full(probabilities.shape[1], STRANGER)])
 
 
+def labelled_sample(
+    rows: DataFrame,
+    text: str = "text",
+    language: str = "lang",
+    key: str = "doc_id",
+    rows_per_language: int = ROWS_PER_LANGUAGE,
+) -> DataFrame:
+    """``lang, text`` of different rows, ``rows_per_language`` a language, written.
+
+    Those least by a hash of the key: a bounded sample, as large for any input. Rows are ranked
+    without their texts, which are fetched for the ones chosen. Rows without text or language are
+    left out; repeated rows count once.
+    """
+    usable = rows.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(language).alias("lang"), F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("text")
+    )
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k", "h")
+    ranked = usable.select("lang", "k", "h").withColumn("n", F.row_number().over(order))
+    chosen = keep(ranked.where(F.col("n") <= rows_per_language).select("lang", "k", "h").distinct())
+    same = [F.col(f"usable.{c}").eqNullSafe(F.col(f"chosen.{c}")) for c in ("lang", "k", "h")]
+    found = usable.alias("usable").join(chosen.alias("chosen"), reduce(and_, same), "left_semi")
+    return keep(found.groupBy("lang", "k", "h").agg(F.first("text").alias("text")).select("lang", "text"))
+
+
 def learn(
     rows: DataFrame,
     text: str = "text",
@@ -139,30 +167,25 @@ def learn(
     rounds: int = ROUNDS,
     name: str = VOCABULARY,
 ) -> tuple[list[str], np.ndarray]:
-    """Languages and a table of piece probabilities, a column each.
+    """Languages and a table of piece probabilities, a column each, from ``labelled_sample``.
 
-    Learns from ``rows_per_language`` texts a language, those least by a hash of the key: a bounded
-    sample, as large for any input. The model is vocabulary x languages. Rows without text or
-    language teach nothing.
+    The model is vocabulary x languages. Without a labelled text there are no languages.
     """
-    usable = rows.where(F.col(language).isNotNull() & F.col(text).isNotNull())
-    usable = usable.select(
-        F.col(key).alias("k"), F.col(language).alias("lang"), F.col(text).alias("text")
-    )
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k", F.xxhash64("text"))
-    sample = usable.withColumn("n", F.row_number().over(order)).where(
-        F.col("n") <= rows_per_language
-    )
+    return learn_sample(labelled_sample(rows, text, language, key, rows_per_language), rounds, name)
+
+
+def learn_sample(
+    sample: DataFrame, rounds: int = ROUNDS, name: str = VOCABULARY
+) -> tuple[list[str], np.ndarray]:
+    """``learn`` from all rows ``lang, text``."""
     counted = sample.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
     counts = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    spark = rows.sparkSession
-    languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
-    if not languages:
-        return [], np.zeros((len(vocabulary(name)), 0))
+    spark = sample.sparkSession
     size = len(vocabulary(name))
     counts = counts.repartition("word").persist()
+    languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
     table = np.full((size, len(languages)), 1.0 / size)
-    for _ in range(rounds):
+    for _ in range(rounds if languages else 0):
         model = spark.sparkContext.broadcast((languages, table, name))
         uses = counts.mapInArrow(lambda it, m=model: _uses(it, *m.value), "lang int, piece int, n double")
         got = uses.groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
@@ -173,6 +196,18 @@ def learn(
     return languages, table
 
 
+def floors(
+    sample: DataFrame, model: tuple[list[str], np.ndarray], times: float = FLOOR, name: str = VOCABULARY
+) -> dict[str, float]:
+    """For each language the log-likelihood of a character below which a text is in none of them.
+
+    ``times`` that of the sample's texts of the language, all their characters together.
+    """
+    found = predict(sample, model, "text", name).where("language.lang_pred = lang")
+    sums = found.groupBy("lang").agg(F.sum("language.log_likelihood"), F.sum("language.n_chars"))
+    return {lang: times * total / n for lang, total, n in sums.collect()}  # a row for each language
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch[0].to_pylist(), batch[1].to_pylist()):
@@ -256,8 +291,9 @@ class Scorer(dict):
         last = np.array([len(WORD_START + w) for w in words])
         return sums[last, np.arange(len(words))]
 
-    def texts(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """Language and its posterior probability, all languages being as likely before."""
+    def texts(self, texts: list[str | None]) -> list[tuple[str, float, float, int]]:
+        """Language, its posterior probability, all languages being as likely before, the
+        log-likelihood of the text in it, and of how many characters."""
         found = [words_of(t) for t in texts]
         if len(self) > KNOWN_WORDS:
             self.clear()
@@ -266,13 +302,15 @@ class Scorer(dict):
             self.learn_words(new[at : at + NEW_WORDS])
         return [self._best(f) for f in found]
 
-    def _best(self, found: Counter) -> tuple[str, float]:
+    def _best(self, found: Counter) -> tuple[str, float, float, int]:
         if not found or not self.languages:
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, 0.0, 0
         places = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
         scores = np.fromiter(found.values(), float, len(found)) @ self.scores[places]
         best = int(scores.argmax())
-        return self.languages[best], float(1.0 / np.exp(np.minimum(scores - scores[best], 0)).sum())
+        posterior = float(1.0 / np.exp(np.minimum(scores - scores[best], 0)).sum())
+        n_chars = sum((len(WORD_START) + len(w)) * n for w, n in found.items())
+        return self.languages[best], posterior, float(scores[best]), n_chars
 
 
 def scorer_of(model_id: str, model: tuple) -> Scorer:
@@ -283,9 +321,11 @@ def scorer_of(model_id: str, model: tuple) -> Scorer:
 def predict(
     df: DataFrame, model: tuple[list[str], np.ndarray], text: str = "text", name: str = VOCABULARY
 ) -> DataFrame:
-    """The columns of ``df`` and a struct ``language`` of lang_pred and score.
+    """The columns of ``df`` and a struct ``language``: lang_pred, score, log_likelihood, n_chars.
 
-    lang_pred is a learnt language, or ``und`` with score 0 if the text is null or has no letter.
+    lang_pred is a learnt language, or ``und`` with score 0 if the text is null or has no letter or
+    nothing was learnt. score is its posterior probability, log_likelihood that of the text's words
+    in it, of n_chars characters with the beginnings of words: 0 of 0 for ``und``.
     Equal texts get equal answers, whatever the other columns say. Ties go to the language first in
     the alphabet. A column named ``language`` of the input is replaced.
     """
@@ -295,17 +335,10 @@ def predict(
     # the text moves to Python once, inside its row
     row, at = df.select(F.struct(*kept).alias("_row")), kept.index(text)
     row_type = T.StructType([f for f in df.schema if f.name in kept])
-    schema = T.StructType(
-        [
-            T.StructField("_row", row_type),
-            T.StructField(
-                "language",
-                T.StructType(
-                    [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-                ),
-            ),
-        ]
+    answer_type = T._parse_datatype_string(
+        "lang_pred string, score double, log_likelihood double, n_chars long"
     )
+    schema = T.StructType([T.StructField("_row", row_type), T.StructField("language", answer_type)])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(model_id, shared.value)
@@ -314,12 +347,10 @@ def predict(
             texts = batch[0].field(at)
             for first in range(0, len(texts), TEXTS):
                 found += scorer.texts(texts.slice(first, TEXTS).to_pylist())
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.int64())
             answer = pa.StructArray.from_arrays(
-                [
-                    pa.array([x[0] for x in found], pa.string()),
-                    pa.array([x[1] for x in found], pa.float64()),
-                ],
-                names=["lang_pred", "score"],
+                [pa.array([x[i] for x in found], k) for i, k in enumerate(kinds)],
+                names=answer_type.names,
             )
             yield pa.record_batch([batch[0], answer], names=["_row", "language"])
 

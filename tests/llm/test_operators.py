@@ -467,6 +467,52 @@ def test_language_query(spark, data):
     assert {r.language.lang_pred for r in langid.predict(odd, model).collect()} == {langid.UNKNOWN}
 
 
+def test_language_floors_tell_texts_of_no_language(spark, data):
+    rng = random.Random(6)
+    docs = queries.read_table(spark, data, "documents")
+    sample = langid.labelled_sample(docs, rows_per_language=60)
+    assert all(r["count"] <= 60 for r in sample.groupBy("lang").count().collect())
+    model = langid.learn_sample(sample)
+    floors = langid.floors(sample, model)
+    assert sorted(floors) == model[0] and all(-6 < f < -2 for f in floors.values())
+    letters = lambda n: " ".join(
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n)
+    )
+    junk = [letters(rng.randint(10, 80)) for _ in range(100)]
+    junk += ["Это предложение написано на русском языке, его здесь не учили", "これは日本語の文です。この言語は学ばれていません。"]
+    df = spark.createDataFrame([(t,) for t in junk], "text string").unionByName(docs.select("text"))
+    low = lambda r: r.language.log_likelihood < floors[r.language.lang_pred] * r.language.n_chars
+    rows = langid.predict(df, model).collect()
+    gone = {r.text for r in rows if r.language.lang_pred != langid.UNKNOWN and low(r)}
+    assert gone == set(junk)
+
+
+def test_labelled_sample_of_odd_rows(spark):
+    rows = [(1, "a b", "x")] * 50 + [(None, "c", "x"), (2, None, "x"), (3, "d", None), (4, "e", "y"), (4, "f", "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(tuple(r) for r in langid.labelled_sample(df).collect())
+    assert got == [("x", "a b"), ("x", "c"), ("y", "e"), ("y", "f")]
+    assert langid.labelled_sample(df, rows_per_language=1).count() == 2
+    none = langid.labelled_sample(df.limit(0))
+    assert none.count() == 0 and langid.floors(none, langid.learn_sample(none)) == {}
+
+
+def test_language_prediction_of_odd_rows(spark):
+    docs = [(i, "the and of", "en") for i in range(4)] + [(9 + i, "der und von", "de") for i in range(4)]
+    model = langid.learn(spark.createDataFrame(docs, "doc_id long, text string, lang string"))
+    rows = [(1, "the", "x"), (1, "the", "x"), (None, None, "y"), (3, "", None), (4, "der " * 50_000, "z"), (5, "q", "w")]
+    df = spark.createDataFrame(rows, "id int, text string, language string").withColumn("_row", F.lit(1))
+    got = langid.predict(df, model)
+    assert got.columns == ["id", "text", "_row", "language"]
+    found = {(r.id, (r.text or "")[:5]): r.language for r in got.collect()}
+    assert found[1, "the"].lang_pred == "en" and found[4, "der d"].lang_pred == "de"
+    assert found[4, "der d"].n_chars == 4 * 50_000
+    assert tuple(found[None, ""]) == tuple(found[3, ""]) == (langid.UNKNOWN, 0.0, 0.0, 0)
+    assert langid.predict(df.limit(0), model).count() == 0 and got.count() == len(rows)
+    alike = langid.learn(spark.createDataFrame([(1, "a", "b"), (2, "a", "a")], "doc_id long, text string, lang string"))
+    assert {r.language.lang_pred for r in langid.predict(df.where("id = 1"), alike).collect()} == {"a"}  # a tie
+
+
 def test_empty_tables(docs):
     none = docs.limit(0)
     for made in (
