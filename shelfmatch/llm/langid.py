@@ -33,7 +33,7 @@ VOCABULARY = "piece_bpe_32k.model"
 WORD_START = "▁"  # fixed value: how the vocabulary marks the beginning of a word
 UNKNOWN = "und"
 ROWS_PER_LANGUAGE = 300  # texts a language is learnt from
-FLOOR = 2.75  # times the log-likelihood of a language's characters, below which text is in none
+FLOOR = 2.75  # times the log-likelihood of a character in its language, below which text is in none
 ROUNDS = 2  # of expectation and maximisation
 KNOWN_WORDS = 250_000  # words a worker remembers with their scores
 STRANGER = 1e-7  # probability of a character that the vocabulary lacks, in any language
@@ -199,13 +199,11 @@ def learn_sample(
 def floors(
     sample: DataFrame, model: tuple[list[str], np.ndarray], times: float = FLOOR, name: str = VOCABULARY
 ) -> dict[str, float]:
-    """For each language the log-likelihood of a character below which a text is in none of them.
-
-    ``times`` that of the sample's texts of the language, all their characters together.
-    """
-    found = predict(sample, model, "text", name).where("language.lang_pred = lang")
-    sums = found.groupBy("lang").agg(F.sum("language.log_likelihood"), F.sum("language.n_chars"))
-    return {lang: times * total / n for lang, total, n in sums.collect()}  # a row for each language
+    """For each language the log-likelihood of a character below which a text is in none of them:
+    ``times`` the median of the sample's texts of the language, whatever their lengths."""
+    found = predict(sample, model, "text", name).where("language.lang_pred = lang and language.n_chars > 0")
+    medians = found.groupBy("lang").agg(F.median(F.expr("language.log_likelihood / language.n_chars")))
+    return {lang: times * one for lang, one in medians.collect()}  # a row for each language
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

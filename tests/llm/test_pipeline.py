@@ -15,8 +15,8 @@ from shelfmatch.llm import langid, packing, queries
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def sure_of_a_language(texts, model):
-    """Which texts a language is more likely for than all others, by plain sums over the pieces."""
+def sure_of_a_language(texts, sample, model):
+    """Which texts are likely enough for their length, by plain sums over the pieces."""
     languages, table = model
     pieces, known = langid.vocabulary(), {}
     stranger = np.full(len(languages), langid.STRANGER)
@@ -34,15 +34,25 @@ def sure_of_a_language(texts, model):
             sums.append(total)
         return np.log(sums[-1])
 
-    sure = set()
-    for i, text in texts.items():
-        scores = np.zeros(len(languages))
-        found = langid.words_of(text)
+    def told(text):
+        """The likeliest language, the log-likelihood in it and the characters."""
+        scores, found = np.zeros(len(languages)), langid.words_of(text)
         for word, n in found.items():
             if word not in known:
                 known[word] = log_likelihood(word)
             scores += n * known[word]
-        if found and 1 / np.exp(scores - scores.max()).sum() >= pipeline.LEAST_SCORE:
+        best = int(scores.argmax())
+        return languages[best], scores[best], sum((1 + len(w)) * n for w, n in found.items())
+
+    ratios = collections.defaultdict(list)
+    for lang, text in sample:
+        found, score, n = told(text)
+        if found == lang and n:
+            ratios[lang].append(score / n)
+    sure = set()
+    for i, text in texts.items():
+        found, score, n = told(text)
+        if n and score >= langid.FLOOR * np.median(ratios[found]) * n:
             sure.add(i)
     return sure
 
@@ -89,11 +99,14 @@ def without_repeats(texts):
 def test_pipeline_equals_brute_force(spark, data, tmp_path):
     given = queries.read_table(spark, data, "documents")
     odd = [(9000, "12 ! 34", None, "s", 7), (9001, None, None, "s", None), (9002, "\n \u3000", "en", "s", 3)]
+    odd += [(9003, "qxzj wvkq xjzq pqzv kxqj zzvq hjqx wqxz vjqk", None, "s", None)]
     folder = str(tmp_path)
     given.union(spark.createDataFrame(odd, given.schema)).write.parquet(f"{folder}/documents.parquet")
     docs = queries.read_table(spark, folder, "documents")
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    sure = sure_of_a_language(texts, langid.learn(docs))
+    sample = langid.labelled_sample(docs)
+    sure = sure_of_a_language(texts, [tuple(r) for r in sample.collect()], langid.learn_sample(sample))
+    assert not sure & {9000, 9001, 9002, 9003}
     first = first_of_similar({i: texts[i] for i in sure})
     assert 0 < len(first) < len(sure) < len(texts)
     left = without_repeats({i: texts[i] for i in first})
