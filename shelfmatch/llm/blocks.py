@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .worker import forget
+
 BLOCKS_PER_PARTITION = 3  # so that partitions get similar numbers; letters grow with it
 LETTERS = "_block int, _bucket int, _keys binary, _more binary"
 ECHO = -1  # bucket of what a block sends to itself
@@ -42,6 +44,7 @@ def letters(
     echo: bytes,
 ) -> pa.Table:
     """What a block sends. ``hashes`` are sorted; ``low`` and ``more`` hold as many values."""
+    forget()
     bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     full = np.flatnonzero(np.diff(cuts)).tolist()

@@ -248,6 +248,7 @@ class Scorer(dict):
         super().__init__()
         self.languages, self.full, self.automaton = languages, _table(table), _automaton(name)
         self.scores = np.zeros((1024, len(languages)))
+        self.lengths = np.zeros(1024, np.int64)  # of the words, with their beginning
 
     def learn_words(self, words: list[str]) -> None:
         """Log-probabilities of new words, all words at once: one step for each place in a word."""
@@ -260,7 +261,9 @@ class Scorer(dict):
         at = len(self)
         while at + len(words) > len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
         self.scores[at : at + len(words)] = total
+        self.lengths[at : at + len(words)] = [len(WORD_START) + len(w) for w in words]
         self.update(zip(words, range(at, at + len(words))))
 
     def _totals(self, words: list[str], logs: bool) -> np.ndarray:
@@ -304,11 +307,11 @@ class Scorer(dict):
         if not found or not self.languages:
             return UNKNOWN, 0.0, 0.0, 0
         places = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-        scores = np.fromiter(found.values(), float, len(found)) @ self.scores[places]
+        times = np.fromiter(found.values(), float, len(found))
+        scores = times @ self.scores[places]
         best = int(scores.argmax())
         posterior = float(1.0 / np.exp(np.minimum(scores - scores[best], 0)).sum())
-        n_chars = sum((len(WORD_START) + len(w)) * n for w, n in found.items())
-        return self.languages[best], posterior, float(scores[best]), n_chars
+        return self.languages[best], posterior, float(scores[best]), int(times @ self.lengths[places])
 
 
 def scorer_of(model_id: str, model: tuple) -> Scorer:

@@ -6,6 +6,8 @@ operators that a pipeline has run would stay in memory side by side.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Hashable
 
 import pyarrow as pa
@@ -13,10 +15,22 @@ import pyarrow as pa
 _held: dict[Hashable, object] = {}
 
 
+def forget() -> None:
+    """Drop what is held and give its memory back, before work that has no model."""
+    if not _held:
+        return
+    _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:  # small objects leave holes that only the C library can return
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def held(key: Hashable, make: Callable[[], object]):
     """What ``make`` made for this key, as long as no other key was asked for."""
     if key not in _held:
-        _held.clear()
-        pa.default_memory_pool().release_unused()
+        forget()
         _held[key] = make()
     return _held[key]
