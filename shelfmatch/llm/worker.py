@@ -16,10 +16,14 @@ _held: dict[Hashable, object] = {}
 
 
 def forget() -> None:
-    """Drop what is held and give its memory back, before work that has no model."""
-    if not _held:
-        return
-    _held.clear()
+    """Drop what is held, before work that has no model."""
+    if _held:
+        _held.clear()
+        _give_back()
+
+
+def _give_back() -> None:
+    """Return the memory that earlier work has left free in this process."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:  # small objects leave holes that only the C library can return
@@ -31,6 +35,7 @@ def forget() -> None:
 def held(key: Hashable, make: Callable[[], object]):
     """What ``make`` made for this key, as long as no other key was asked for."""
     if key not in _held:
-        forget()
+        _held.clear()
+        _give_back()
         _held[key] = make()
     return _held[key]
