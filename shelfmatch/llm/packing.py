@@ -30,7 +30,7 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 2  # id after each document
 GROUP_ROWS = 2000  # pieces packed together: enough that the last windows hardly count
-KNOWN_WORDS = 200_000  # words a worker remembers with their ids, twice
+KNOWN_WORDS = 300_000  # words a worker remembers with their ids, twice
 SPLIT_BYTES = 1 << 22  # of texts whose words are looked up together; a longer text goes alone
 _SPACE, _NAME = 32, b"<|"  # what the name of a special token begins with
 # the vocabulary cuts between a letter and such a mark, so that a space there changes nothing
