@@ -30,8 +30,8 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 2  # id after each document
 GROUP_ROWS = 2000  # pieces packed together: enough that the last windows hardly count
-KNOWN_WORDS = 300_000  # words a worker remembers with their ids, twice
-SPLIT_BYTES = 1 << 22  # of texts whose words are looked up together; a longer text goes alone
+KNOWN_WORDS = 200_000  # words a worker remembers with their ids, twice
+SPLIT_BYTES = 1 << 24  # of texts whose words are looked up together, some 20 times that in memory; a longer text goes alone
 _SPACE, _NAME = 32, b"<|"  # what the name of a special token begins with
 # the vocabulary cuts between a letter and such a mark, so that a space there changes nothing
 _LETTER, _MARK = np.zeros(256, bool), np.zeros(256, bool)
@@ -129,11 +129,13 @@ def token_pieces(
     end: int = END,
     name: str = VOCABULARY,
     with_ids: bool = False,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Full windows of each document and what remains: key, start, length, ids_crc32, doc_tokens.
 
     A null or empty text is the end id alone. Repeated rows give repeated pieces, a null key stays
-    null; other columns aren't read. ``with_ids`` adds the ids.
+    null; other columns aren't read. ``with_ids`` adds the ids. ``split_bytes`` of texts are treated together:
+    fewer take less memory and more time.
     """
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField(key, kind)])
@@ -145,7 +147,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = known_words(name)
         for batch in batches:
-            for low, high in _parts(batch[1]):
+            for low, high in _parts(batch[1], split_bytes):
                 part = batch.slice(low, high - low)
                 ids, bounds = words.texts(part[1])
                 ids = np.insert(ids, bounds[1:], end).astype("<u4")
@@ -167,13 +169,13 @@ def token_pieces(
     return docs.select(key, text).mapInArrow(cut, schema)
 
 
-def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of SPLIT_BYTES at most."""
+def _parts(texts: pa.Array, split_bytes: int) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of so many bytes at most."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(texts):
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + SPLIT_BYTES, "right")))
+        to = max(at + 1, int(np.searchsorted(ends, before + split_bytes, "right")))
         yield at, to
         at = to
 
