@@ -176,3 +176,32 @@ def test_no_cross_product_in_plans(spark):
     ):
         plan = df._jdf.queryExecution().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_close_sets_move_words_of_near_pairs_only(spark):
+    """Sets that share rare words and are not near: pairs with their words were joined before."""
+    from shelfmatch.operators import closesets as cs
+
+    r = random.Random(8)
+    a = []
+    for i in range(40):
+        words = [f"rare{i // 8}-{k}" for k in range(20)] + [f"own{i}-{k}" for k in range(40)]
+        a.append((i, words))
+        a.append((100 + i, r.sample(words, 55)))  # its near copy
+    a += [(200, []), (201, None), (202, ["x"]), (203, ["x", "x"])]
+    df = spark.createDataFrame(a, "id bigint, t array<string>")
+    want = brute_jaccard(a[:80] + a[82:], a[:80] + a[82:], 0.4)
+    assert found(sj.jaccard_join_exact(df, df, "id", "t", 0.4)) == pytest.approx(want)
+    banded = found(sj.jaccard_join(df, df, "id", "t", 0.4, hashes=12, bands=4))
+    assert set(banded) <= set(want) and {(i, i) for i in range(40)} <= set(banded)
+    side = sj._token_side(df, "id", "t")
+    sets = cs.kept_sets(side, side)
+    candidates = cs._candidates(sets, 0.6)
+    assert cs._unlikely_dropped(candidates, sets, 0.6, False).count() < 2 * 40
+
+
+def test_banded_join_of_close_sets_is_the_bucket_join(spark, monkeypatch):
+    a, b, da, db = token_sides(spark)
+    got = found(sj.jaccard_join(da, db, "id", "t", 0.4, hashes=8, bands=4))
+    monkeypatch.setattr(sj, "COUNTED_BELOW", 2.0)
+    assert got and got == pytest.approx(found(sj.jaccard_join(da, db, "id", "t", 0.4, hashes=8, bands=4)))
