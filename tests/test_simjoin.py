@@ -205,3 +205,17 @@ def test_banded_join_of_close_sets_is_the_bucket_join(spark, monkeypatch):
     got = found(sj.jaccard_join(da, db, "id", "t", 0.4, hashes=8, bands=4))
     monkeypatch.setattr(sj, "COUNTED_BELOW", 2.0)
     assert got and got == pytest.approx(found(sj.jaccard_join(da, db, "id", "t", 0.4, hashes=8, bands=4)))
+
+
+def test_bucket_join_makes_no_row_of_a_candidate(spark, monkeypatch):
+    """All share a bucket of every table, which were 120 * 120 rows with both vectors before."""
+    from shelfmatch.operators import bucketpairs as bp
+
+    monkeypatch.setattr(bp, "CELL_ROWS", 16)
+    monkeypatch.setattr(bp, "BIN_ROWS", 64)
+    r = random.Random(9)
+    a = [(i, [r.random() for _ in range(6)]) for i in range(120)] + [(500, None), (501, [1.0, None, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(a, "id bigint, v array<double>")
+    join = sj.euclidean_join(df, df, "id", "v", 6, 0.5, 50.0, tables=3, per_table=2)
+    assert found(join) == pytest.approx(brute(a[:120], a[:120], 0.5, "euclidean"))
+    assert "FlatMapCoGroupsInArrow" in join._jdf.queryExecution().toString()
