@@ -1,6 +1,8 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmatch.functions import stemming
 from shelfmatch.functions.stemming import porter, stem_tokens
 
 GOLDEN = """
@@ -44,3 +46,13 @@ def test_filter_on_stems_above_a_join(spark):
     b = spark.createDataFrame([(i, ["cat", "mice"]) for i in range(50)], "id int, v array<string>")
     joined = a.join(b.hint("merge"), "id").select("id", stem_tokens("w").alias("s"), stem_tokens("v").alias("t"))
     assert joined.where(F.size(F.array_intersect("s", "t")) == 1).count() == 50
+
+
+def test_stems_remembered_are_bounded(monkeypatch):
+    monkeypatch.setattr(stemming, "MOST_KNOWN", 5)
+    words = [f"word{i}s" for i in range(20)] + ["cats"] * 3
+    known = {}
+    for _ in range(2):
+        got = stemming._stem_lists(pa.array([words, None, ["cats"]], pa.list_(pa.string())), known)
+        assert got.to_pylist() == [[porter(w) for w in words], None, ["cat"]]
+    assert len(known) <= 5
