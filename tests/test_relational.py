@@ -95,3 +95,17 @@ def test_order_and_top(spark):
 def test_prefix_columns(spark):
     df = spark.createDataFrame([(1, "a")], "id int, x string")
     assert re_.prefix_columns(df, "title_", ["id"]).columns == ["id", "title_x"]
+
+
+def test_skew_join_shuffles_a_side_once(spark):
+    """The hot keys are broadcast; joined by a shuffle they made each side move twice."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left, right = spark.range(50).withColumn("x", F.col("id") % 7), spark.range(7).withColumnRenamed("id", "x")
+        joined = re_.skew_join(left, right, ["x"], ["id"])
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2 and plan.count("SortMergeJoin") == 1
+        assert joined.count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
