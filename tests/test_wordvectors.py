@@ -117,3 +117,22 @@ def test_embedding_of_several_fields(spark):
     zero = [0.0, 0.0]
     assert got == {1: ([0.25, 1.0], [1.0, 0.0]), 2: (zero, zero), 3: (zero, [0.5, 1.0]), 4: (zero, zero)}
     assert fe.embed_fields_with_table(df, "id", ["p"], vectors.where(F.lit(False)), 2).count() == 4
+
+
+def test_a_block_asks_once_for_the_vector_of_a_word(spark, monkeypatch):
+    monkeypatch.setattr(fe, "BLOCK_WORDS", 2000)  # four blocks
+    words = [f"w{i}" for i in range(40)]
+    table = [(w, [float(i), None, 0.1 * i]) for i, w in enumerate(words)]
+    table += [("w3", [1.0, 1.0, 1.0]), ("w4", None), (None, [9.0, 9.0, 9.0])]
+    vectors = spark.createDataFrame(table, "word string, vector array<double>")
+    rows = [(i % 90, words[i % 7 :] + [None, "x"]) for i in range(180)] + [(None, ["w1"]), (None, ["w2"])]
+    made = fe.embed_with_table(spark.createDataFrame(rows, "id int, w array<string>"), "id", "w", vectors, 3)
+    of = {w: np.array([x or 0.0 for x in v]) for w, v in table[:40]}
+    of["w3"] = of["w3"] + 1.0
+    want = {}
+    for id_, w in rows:
+        want[id_] = want.get(id_, 0) + sum(of.get(x, np.zeros(3)) for x in w) / len(w)
+    got = {r.id: np.array(r.vector) for r in made.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Aggregate [id" not in plan  # no vector is a row of a list
