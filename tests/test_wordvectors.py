@@ -136,3 +136,11 @@ def test_a_block_asks_once_for_the_vector_of_a_word(spark, monkeypatch):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "Aggregate [id" not in plan  # no vector is a row of a list
+
+
+def test_pairs_of_words_move_in_one_order(docs, lists):
+    plan = wv.cooccurrences(docs, "w", 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # and are not counted again when mirrored
+    got = [(r.word, r.context, r.n) for r in wv.ppmi(docs, "w", 3, min_count=40).collect()]
+    assert len(got) == len({(w, c) for w, c, _ in got}) and set(got) == {(c, w, n) for w, c, n in got}
+    assert any(w == c for w, c, _ in got)
