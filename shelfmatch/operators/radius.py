@@ -29,7 +29,9 @@ from shelfmatch.sources.tables import cut_lineage, tell_workers
 SAMPLE_ROWS = 4096  # vectors of both sides that pivots, axes and the plan are taken from
 MOST_PIVOTS = 256
 RINGS = 64  # of a cell at most
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 1 << 15  # of a side of a block at most
+SMALL_BLOCK = 4096  # rows that are not cut for more tasks
+GRID = 8  # blocks that a smaller side is cut into
 STRIPE_ROWS = 256  # rows of a block compared with the others at a time
 STAGES = 4  # parts of a squared distance
 SHARE = 0.25  # of what a stripe's pairs take; when those left take less, only they are summed on
@@ -227,6 +229,11 @@ def _placed(side: DataFrame, pivots: Pivots, dim: int, radius: float, looking: b
     return side.select("key", "value").mapInArrow(work, schema)
 
 
+def block_rows(rows: int) -> int:
+    """Rows of a side of a block, for sides of as many rows: few blocks repeat a row few times."""
+    return min(BLOCK_ROWS, max(SMALL_BLOCK, -(-rows // GRID)))
+
+
 def _blocks(a: DataFrame, b: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
     """Both sides dealt out to blocks of at most about ``rows`` rows: _cell, _ring, _i, _j."""
     place = ["_cell", "_ring"]
@@ -249,7 +256,7 @@ def _compared(
     found = _pivots_for(sides, dim, radius, pivots)
     looking = cut_lineage(_placed(a, found, dim, radius, True))
     lying = cut_lineage(_placed(b, found, dim, radius, False))
-    left, right = _blocks(looking, lying, BLOCK_ROWS)
+    left, right = _blocks(looking, lying, block_rows(max(side.count() for side in sides.values())))
 
     def compare(one: pa.Table, two: pa.Table) -> pa.Table:
         x, y = _matrix(one["value"], dim), _matrix(two["value"], dim)

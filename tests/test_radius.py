@@ -102,3 +102,11 @@ def test_ranges_hold_every_vector(spark):
     assert len(reached) == len(row)
     for i, j in np.argwhere(ra.distances(vectors, vectors) < 0.3):
         assert (i, cell[j], ring[j]) in reached
+
+
+def test_rows_are_repeated_for_few_blocks(spark):
+    rows = 60_000
+    side = spark.range(rows).selectExpr("0 AS _cell", "0 AS _ring", "unhex(md5(string(id))) AS key", "array(1.0D) AS value")
+    left, right = ra._blocks(side, side, ra.block_rows(rows))
+    assert left.count() <= ra.GRID * rows and right.count() <= ra.GRID * rows  # 15 times in blocks of 4,096 rows
+    assert ra.block_rows(100) == ra.SMALL_BLOCK and ra.block_rows(10**9) == ra.BLOCK_ROWS
