@@ -144,3 +144,17 @@ def test_pairs_of_words_move_in_one_order(docs, lists):
     got = [(r.word, r.context, r.n) for r in wv.ppmi(docs, "w", 3, min_count=40).collect()]
     assert len(got) == len({(w, c) for w, c, _ in got}) and set(got) == {(c, w, n) for w, c, n in got}
     assert any(w == c for w, c, _ in got)
+
+
+def test_word2vec_trains_in_parts_as_large_as_ever(spark, monkeypatch):
+    seen = []
+    plain = fe.Word2Vec
+    monkeypatch.setattr(fe, "Word2Vec", lambda **given: seen.append(given["numPartitions"]) or plain(**given))
+    df = spark.createDataFrame([([f"w{i % 9}", "b", f"w{i % 4}"],) for i in range(40)] + [([],)], "w array<string>")
+    alone = fe.fit_word2vec(df, "w", size=4).getVectors().collect()
+    monkeypatch.setattr(fe, "TRAINED_WORDS", 30)
+    rows = fe.fit_word2vec(df, "w", size=4).getVectors().collect()
+    fe.fit_word2vec(df, "w", size=4, partitions=2)
+    assert seen == [1, 4, 2]  # of 120 words
+    assert {r.word for r in rows} == {r.word for r in alone} == {f"w{i}" for i in range(9)} | {"b"}
+    assert np.isfinite([r.vector.toArray() for r in rows]).all()
