@@ -158,3 +158,17 @@ def test_word2vec_trains_in_parts_as_large_as_ever(spark, monkeypatch):
     assert seen == [1, 4, 2]  # of 120 words
     assert {r.word for r in rows} == {r.word for r in alone} == {f"w{i}" for i in range(9)} | {"b"}
     assert np.isfinite([r.vector.toArray() for r in rows]).all()
+
+
+def test_a_block_asks_for_the_words_of_its_columns_alone(spark, monkeypatch):
+    monkeypatch.setattr(wv, "BLOCK_ASKED", 10)
+    df = spark.createDataFrame([([f"a{i}", f"b{i}", f"b{i + 1}"],) for i in range(40)], "w array<string>")
+    entries = wv.ppmi(df, "w", 1).select("word", "context", "ppmi")
+    vocabulary, stride = wv._vocabulary(entries)
+    rows = wv._blocks(entries, vocabulary, stride).collect()
+    group = {r.word: r.slice // 2 for r in vocabulary.collect()}
+    pairs = entries.collect()
+    assert len({(r.wgroup, r.part) for r in rows}) > len(set(group.values())) > 1
+    assert sum(len(r.x) for r in rows) == 8 * len(pairs)
+    asked = {(group[r.word], r.context) for r in pairs}
+    assert sum(len(r.ask) for r in rows) == 4 * len(asked) < 4 * len(set(group.values())) * len(group)
