@@ -18,20 +18,23 @@ ORACLE_SQL = None  # no stage can be written in SQL; tests compare with brute fo
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of no learnt language: no letters, or letters too unlikely in the likeliest.
 
-    The least log-likelihood of a character follows from the labelled sample that the languages
-    are learnt from. Without labelled documents nothing is learnt and all with letters stay.
+    Languages are learnt from all labelled documents, and the least log-likelihood of a character
+    follows from all of them; repeated rows count once. Without labelled documents nothing is learnt
+    and all with letters stay.
     """
-    sample = langid.labelled_sample(docs)
-    model = langid.learn_sample(sample)
+    model = langid.learn_sample(langid.labelled_sample(docs, rows_per_language=None))
     if not model[0]:
         return docs.where(F.col("text").rlike("\\p{L}"))
-    found = langid.predict(docs, model)
-    floors = langid.floors(sample, model)
+    found = keep(langid.predict(docs, model))
+    floors = langid.floors_of(
+        found.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+        .select("lang", "doc_id", F.xxhash64("text"), "language").distinct()
+    )
     floor = F.lit(None).cast("double")
     for language, least in floors.items():
         floor = F.when(F.col("language.lang_pred") == language, least).otherwise(floor)
     likely = F.col("language.log_likelihood") >= floor * F.col("language.n_chars")
-    likely = F.coalesce(likely, F.lit(True))  # a language of which no sample text is told
+    likely = F.coalesce(likely, F.lit(True))  # a language of which no labelled text is told
     return found.where((F.col("language.lang_pred") != langid.UNKNOWN) & likely).select(docs.columns)
 
 

@@ -41,6 +41,8 @@ SMOOTHING = 0.01  # added to the expected count of each piece
 SPAN = 64  # words beyond this many characters are scored in parts
 FAINT = 1e-250  # words less likely than this are summed again by logarithms; what sums have lost by then is smaller
 NEW_WORDS = 5000  # scored at once
+COUNTED_WORDS = 200_000  # that a task counts before it hands them on
+RATIO_DIGITS = 4  # of the log-likelihood of a character, of which the median is taken
 TEXTS = 64  # read before new words are scored
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -139,9 +141,9 @@ def labelled_sample(
     text: str = "text",
     language: str = "lang",
     key: str = "doc_id",
-    rows_per_language: int = ROWS_PER_LANGUAGE,
+    rows_per_language: int | None = ROWS_PER_LANGUAGE,
 ) -> DataFrame:
-    """``lang, text`` of different rows, ``rows_per_language`` a language, written.
+    """``lang, text`` of different rows, ``rows_per_language`` a language, written; None takes all, not written.
 
     Those least by a hash of the key: a bounded sample, as large for any input. Rows are ranked
     without their texts, which are fetched for the ones chosen. Rows without text or language are
@@ -150,6 +152,8 @@ def labelled_sample(
     usable = rows.where(F.col(language).isNotNull() & F.col(text).isNotNull()).select(
         F.col(language).alias("lang"), F.col(key).alias("k"), F.xxhash64(text).alias("h"), F.col(text).alias("text")
     )
+    if rows_per_language is None:
+        return usable.dropDuplicates(["lang", "k", "h"]).select("lang", "text")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k", "h")
     ranked = usable.select("lang", "k", "h").withColumn("n", F.row_number().over(order))
     chosen = keep(ranked.where(F.col("n") <= rows_per_language).select("lang", "k", "h").distinct())
@@ -182,7 +186,7 @@ def learn_sample(
     counts = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     spark = sample.sparkSession
     size = len(vocabulary(name))
-    counts = counts.repartition("word").persist()
+    counts = keep(counts.repartition("word"))
     languages = sorted(r[0] for r in counts.select("lang").distinct().collect())
     table = np.full((size, len(languages)), 1.0 / size)
     for _ in range(rounds if languages else 0):
@@ -192,7 +196,6 @@ def learn_sample(
         table = np.full((size, len(languages)), SMOOTHING)
         np.add.at(table, (got["piece"].to_numpy(), got["lang"].to_numpy()), got["n"].to_numpy())
         table /= table.sum(0)
-    counts.unpersist()
     return languages, table
 
 
@@ -201,23 +204,36 @@ def floors(
 ) -> dict[str, float]:
     """For each language the log-likelihood of a character below which a text is in none of them:
     ``times`` the median of the sample's texts of the language, whatever their lengths."""
-    found = predict(sample, model, "text", name).where("language.lang_pred = lang and language.n_chars > 0")
-    medians = found.groupBy("lang").agg(F.median(F.expr("language.log_likelihood / language.n_chars")))
+    return floors_of(predict(sample, model, "text", name), times)
+
+
+def floors_of(predicted: DataFrame, times: float = FLOOR) -> dict[str, float]:
+    """``floors`` of texts whose language has been predicted, rows ``lang, language``.
+
+    The median is that of values rounded to RATIO_DIGITS, of which there are few, for any number of rows.
+    """
+    found = predicted.where("language.lang_pred = lang and language.n_chars > 0")
+    ratio = F.round(F.expr("language.log_likelihood / language.n_chars"), RATIO_DIGITS)
+    medians = found.groupBy("lang").agg(F.median(ratio))
     return {lang: times * one for lang, one in medians.collect()}  # a row for each language
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: dict[str, Counter] = {}
+
+    def counted() -> pa.RecordBatch:
+        rows = [(lang, word, n) for lang, words in found.items() for word, n in words.items()]
+        columns = zip(*rows) if rows else ((), (), ())
+        kinds = (pa.string(), pa.string(), pa.int64())
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "word", "n"])
+
     for batch in batches:
         for lang, text in zip(batch[0].to_pylist(), batch[1].to_pylist()):
-            found = words_of(text)
-            yield pa.record_batch(
-                [
-                    pa.array([lang] * len(found), pa.string()),
-                    pa.array(list(found), pa.string()),
-                    pa.array(list(found.values()), pa.int64()),
-                ],
-                names=["lang", "word", "n"],
-            )
+            found.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, found.values())) >= COUNTED_WORDS:
+                yield counted()
+                found.clear()
+    yield counted()
 
 
 def _uses(batches, languages: list[str], table: np.ndarray, name: str) -> Iterator[pa.RecordBatch]:

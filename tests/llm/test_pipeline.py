@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
@@ -147,3 +148,24 @@ def test_pipeline_on_odd_tables(spark, tmp_path):
         got = pipeline.run(spark, folder).collect()
         ids = {r.doc_id for r in got}
         assert 4 not in ids and (name == "none" or {None, 3} <= ids) and (rows or not got)
+
+
+def test_languages_are_learnt_from_all_labelled_documents(spark, monkeypatch):
+    learnt, seen = langid.learn_sample, []
+    monkeypatch.setattr(langid, "learn_sample", lambda rows: seen.append(rows.count()) or learnt(rows))
+    docs = [(i, f"of the sea and number {'abcdefgh'[i % 8]}", "en", "s", 9) for i in range(2 * langid.ROWS_PER_LANGUAGE)]
+    docs += [docs[0], (None, "der see und das land", "de", "s", 9), (9001, "of the sea", None, "s", 9), (9002, None, "en", "s", 9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.identify_language(spark, df, "")
+    assert seen == [2 * langid.ROWS_PER_LANGUAGE + 1]
+    assert got.count() == len(docs) - 1 and got.columns == df.columns
+
+
+def test_words_counted_in_several_goes(monkeypatch):
+    monkeypatch.setattr(langid, "COUNTED_WORDS", 3)
+    batch = pa.record_batch([pa.array(["x", "y", "x"]), pa.array(["a b a", "b c", None])], names=["lang", "text"])
+    total = collections.Counter()
+    for made in langid._word_counts(iter([batch, batch])):
+        for lang, word, n in zip(*(c.to_pylist() for c in made.columns)):
+            total[lang, word] += n
+    assert total == {("x", "a"): 4, ("x", "b"): 2, ("y", "b"): 2, ("y", "c"): 2}
