@@ -9,7 +9,8 @@ from shelfmatch.llm import jaccard, langid, packing, substrings
 from shelfmatch.llm.kept import keep
 from shelfmatch.llm.queries import read_table
 
-PART_BYTES = 1 << 22  # of texts packed together, as other stages have left less memory
+PART_BYTES = 1 << 20  # of texts packed together, as other stages have left less memory
+PART_WORDS = 50_000  # remembered with their ids there
 SHINGLE, PERCENT = 5, 80  # near duplicates: words of a shingle, least similarity
 
 ORACLE_SQL = None  # no stage can be written in SQL; tests compare with brute force
@@ -64,7 +65,7 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in sequences of 4096 tokens."""
-    pieces = packing.token_pieces(docs.select("doc_id", "text"), split_bytes=PART_BYTES)
+    pieces = packing.token_pieces(docs.select("doc_id", "text"), split_bytes=PART_BYTES, most_words=PART_WORDS)
     return packing.pack(pieces, ["doc_id", "start"])
 
 

@@ -31,6 +31,7 @@ CAPACITY = 4096
 END = 2  # id after each document
 GROUP_ROWS = 2000  # pieces packed together: enough that the last windows hardly count
 KNOWN_WORDS = 200_000  # words a worker remembers with their ids, twice
+ENCODED_WORDS = 4096  # words encoded in one call, a kilobyte or more each until their ids are taken
 SPLIT_BYTES = 1 << 24  # of texts whose words are looked up together, some 20 times that in memory; a longer text goes alone
 _SPACE, _NAME = 32, b"<|"  # what the name of a special token begins with
 # the vocabulary cuts between a letter and such a mark, so that a space there changes nothing
@@ -66,8 +67,9 @@ def with_spaces(texts: pa.Array) -> pa.Array:
 class KnownWords(dict):
     """Ids of the words met lately, as bytes. Words between spaces are encoded independently."""
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, most: int | None = None):
         super().__init__()
+        self.most = most or KNOWN_WORDS
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side
         from tokenizers import Tokenizer
 
@@ -100,18 +102,20 @@ class KnownWords(dict):
         if missing:
             self.update((w, self.older[w]) for w in missing if w in self.older)
             missing = [w for w in missing if w not in self]
-            found = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            self.update(zip(missing, [_pack(e.ids) for e in found]))
+            for at in range(0, len(missing), ENCODED_WORDS):
+                part = missing[at : at + ENCODED_WORDS]
+                found = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                self.update(zip(part, [_pack(e.ids) for e in found]))
         out = [*map(self.__getitem__, words)]
-        if len(self) > KNOWN_WORDS:
+        if len(self) > self.most:
             self.older = dict(self)
             self.clear()
         return out
 
 
-def known_words(name: str) -> KnownWords:
+def known_words(name: str, most: int | None = None) -> KnownWords:
     """One for all tasks of a worker."""
-    return held(("packing", name), lambda: KnownWords(name))
+    return held(("packing", name, most), lambda: KnownWords(name, most))
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -130,12 +134,13 @@ def token_pieces(
     name: str = VOCABULARY,
     with_ids: bool = False,
     split_bytes: int = SPLIT_BYTES,
+    most_words: int | None = None,
 ) -> DataFrame:
     """Full windows of each document and what remains: key, start, length, ids_crc32, doc_tokens.
 
     A null or empty text is the end id alone. Repeated rows give repeated pieces, a null key stays
-    null; other columns aren't read. ``with_ids`` adds the ids. ``split_bytes`` of texts are treated together:
-    fewer take less memory and more time.
+    null; other columns aren't read. ``with_ids`` adds the ids. ``split_bytes`` of texts are treated together
+    and ``most_words`` (KNOWN_WORDS) are remembered, twice: fewer take less memory and more time.
     """
     kind = docs.schema[key].dataType
     schema = T.StructType([T.StructField(key, kind)])
@@ -145,7 +150,7 @@ def token_pieces(
         schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = known_words(name)
+        words = known_words(name, most_words)
         for batch in batches:
             for low, high in _parts(batch[1], split_bytes):
                 part = batch.slice(low, high - low)

@@ -199,6 +199,25 @@ def test_ids_of_odd_words(name, monkeypatch):
             assert ids[bounds[i] : bounds[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_remembered_words_are_bounded(monkeypatch):
+    calls = []
+    monkeypatch.setattr(packing, "ENCODED_WORDS", 50)
+    few, many = packing.KnownWords(packing.VOCABULARY, 100), packing.KnownWords(packing.VOCABULARY)
+
+    class Counted:
+        def encode_batch_fast(self, words, **options):
+            calls.append(len(words))
+            return many.tokenizer.encode_batch_fast(words, **options)
+
+    few.tokenizer = Counted()
+    for part in range(5):
+        array = packing.pa.array([f"word{part * 300 + i} again{i}" for i in range(400)])
+        for one, other in zip(few.texts(array), many.texts(array)):
+            assert one.tolist() == other.tolist()
+        assert len(few) <= 100
+    assert max(calls) <= 50
+
+
 def test_packing_of_odd_rows(spark):
     rows = [(None, "one two"), (None, "one two"), (3, None), (3, ""), (4, "a " * 9000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("offset", F.lit("x"))
