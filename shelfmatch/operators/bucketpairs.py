@@ -3,6 +3,9 @@
 A row of a bucket has the vector with it, so that no candidate pair is ever a row: the vectors of a
 bucket are compared in blocks, and only pairs below the threshold come out, each from the first
 table that has them in one bucket. Large buckets are cut into a grid.
+
+Where a vector looks into many buckets, ``sketched_pairs`` sends a sketch with each, a byte a number,
+that tells how near two vectors can be at most.
 """
 
 from __future__ import annotations
@@ -19,6 +22,10 @@ CELL_ROWS = 2048  # of a side of a bucket that are compared at a time
 BIN_ROWS = 1 << 14  # of a side that a task takes together, about
 
 
+SMALL_CELL = 32  # pairs of a cell, up to which cells are compared together
+PAIRS = 1 << 16  # compared together
+
+
 def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Distances of rows, summed from the first place to the last."""
     return np.sqrt(np.cumsum((x - y) ** 2, axis=1)[:, -1])
@@ -86,3 +93,79 @@ def near_in_buckets(a: DataFrame, b: DataFrame, dim: int, threshold: float) -> D
 
     schema = "key_a binary, key_b binary, distance double"
     return one.groupBy("bin").cogroup(two.groupBy("bin_b")).applyInArrow(compare, schema)
+
+
+def sketches(vectors: np.ndarray) -> pa.Array:
+    """Of each row: a step, how far the row is from its rounding to whole steps, and these in bytes."""
+    step = np.maximum(np.abs(vectors).max(axis=1) / 127, 1e-300)
+    whole = np.clip(np.rint(vectors / step[:, None]), -127, 127)
+    off = np.sqrt(((vectors - whole * step[:, None]) ** 2).sum(axis=1))
+    out = np.hstack([np.column_stack([step, off]).view(np.int8), whole.astype(np.int8)])
+    offsets = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(out), [None, pa.py_buffer(offsets), pa.py_buffer(out.tobytes())])
+
+
+def _read_sketches(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Roundings, and how far the vectors are from them."""
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1)
+    step, off = np.ascontiguousarray(raw[:, :16]).view(np.float64).T
+    return raw[:, 16:] * step[:, None], off
+
+
+def _may_be_near(squares, size, off, threshold: float) -> np.ndarray:
+    """Whether vectors can be below the threshold whose roundings have these squared distances."""
+    return ~(squares > (threshold + off) ** 2 * (1 + 1e-9) + 1e-9 * (size + 1))  # not a number: unknown
+
+
+def sketched_pairs(a: DataFrame, b: DataFrame, threshold: float) -> DataFrame:
+    """``key_a, key_b`` of vectors with a hash in common whose sketches do not rule out the threshold.
+
+    Both sides have ``key, sketch, hashes``, without nulls, and distinct keys. All pairs below the threshold
+    that share a hash come out, once for each they share, and few others.
+    """
+    tell_workers(a.sparkSession)
+    side_a, side_b = (cut_lineage(side.select("key", "sketch", "hashes")) for side in (a, b))
+    left, right = (s.select("key", "sketch", F.explode("hashes").alias("bucket")) for s in (side_a, side_b))
+    counts_a, counts_b = (frequent_keys(side, ["bucket"]) for side in (left, right))
+    left, right = dealt(left, right, ["bucket"], ["key"], counts_a, counts_b, CELL_ROWS)
+    rows = max(side.agg(F.sum(F.size("hashes"))).first()[0] or 0 for side in (side_a, side_b))
+    cell = F.xxhash64("bucket", ROW, COLUMN)
+    bin_ = F.pmod(cell, F.lit(max(1, -(-rows // BIN_ROWS)))).cast("int").alias("bin")
+    one, two = (s.select(bin_, cell.alias("cell"), "key", "sketch") for s in (left, right))
+    two = two.toDF(*[f"{c}_b" for c in two.columns])
+
+    def compare(one: pa.Table, two: pa.Table) -> pa.Table:
+        found = [(np.zeros(0, int), np.zeros(0, int))]
+        if one.num_rows and two.num_rows:
+            (x, off_x), (y, off_y) = _read_sketches(one["sketch"]), _read_sketches(two["sketch_b"])
+            cx, cy = one["cell"].to_numpy(), two["cell_b"].to_numpy()
+            size_x, size_y = (x * x).sum(axis=1), (y * y).sum(axis=1)
+            by_x, by_y = np.argsort(cx, kind="stable"), np.argsort(cy, kind="stable")
+            cells = np.intersect1d(cx, cy)
+            p, q, r, s = (np.searchsorted(c, cells, side) for c in (cx[by_x], cy[by_y]) for side in ("left", "right"))
+            pairs = (q - p) * (s - r)
+            small = pairs <= SMALL_CELL
+            i, j = _all_pairs(p[small], r[small], (s - r)[small], pairs[small])
+            i, j = by_x[i], by_y[j]
+            for at in range(0, len(i), PAIRS):
+                m, n = i[at : at + PAIRS], j[at : at + PAIRS]
+                squares = ((x[m] - y[n]) ** 2).sum(axis=1)
+                near = _may_be_near(squares, size_x[m] + size_y[n], off_x[m] + off_y[n], threshold)
+                found.append((m[near], n[near]))
+            for p, q, r, s in zip(p[~small], q[~small], r[~small], s[~small]):
+                m, n = by_x[p:q], by_y[r:s]
+                size = size_x[m][:, None] + size_y[n]
+                off = off_x[m][:, None] + off_y[n]
+                near = np.nonzero(_may_be_near(size - 2 * (x[m] @ y[n].T), size, off, threshold))
+                found.append((m[near[0]], n[near[1]]))
+        i, j = (np.concatenate(c) for c in zip(*found))
+        return pa.table({"key_a": one["key"].take(pa.array(i)), "key_b": two["key_b"].take(pa.array(j))})
+
+    return one.groupBy("bin").cogroup(two.groupBy("bin_b")).applyInArrow(compare, "key_a binary, key_b binary")
+
+
+def _all_pairs(p: np.ndarray, r: np.ndarray, width: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of cells that begin at ``p`` and ``r``, ``width`` wide on the second side."""
+    place = np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+    wide = np.repeat(width, pairs)
+    return np.repeat(p, pairs) + place // wide, np.repeat(r, pairs) + place % wide

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.functions.hashing import unit_directions
 from shelfmatch.functions.vectors import euclidean
-from shelfmatch.operators.relational import skew_join
+from shelfmatch.operators.bucketpairs import sketched_pairs, sketches
 from shelfmatch.operators.simjoin import distinct_values, put_ids_back, vector_side, verified
 from shelfmatch.sources.tables import cut_lineage, tell_workers
 
@@ -154,9 +154,9 @@ def hashed(buckets: np.ndarray, steps: np.ndarray) -> np.ndarray:
 
 
 def _in_buckets(
-    values: DataFrame, side: str, plan: BucketPlan, dim: int, seed: int, steps: list[tuple[int, ...]]
+    values: DataFrame, plan: BucketPlan, dim: int, seed: int, steps: list[tuple[int, ...]]
 ) -> DataFrame:
-    """``key_<side>, hash``: a row for each table and step of each vector."""
+    """``key, sketch, hashes``: a hash for each table and step of each vector."""
     ways = np.array(unit_directions(plan.tables * plan.per_table, dim, seed)).T
     moves = np.array(steps, np.int64)
 
@@ -169,10 +169,9 @@ def _in_buckets(
                 found = hashed(own.reshape(-1, plan.tables, plan.per_table), moves).reshape(len(own), -1)
                 offsets = np.arange(len(own) + 1, dtype=np.int32) * found.shape[1]
                 lists = pa.ListArray.from_arrays(offsets, found.ravel().view(np.int64))
-                yield pa.record_batch([part[0], lists], names=["key", "hashes"])
+                yield pa.record_batch([part[0], sketches(vectors), lists], names=["key", "sketch", "hashes"])
 
-    placed = values.select("key", "value").mapInArrow(work, "key binary, hashes array<long>")
-    return placed.select(F.col("key").alias(f"key_{side}"), F.explode("hashes").alias("hash"))
+    return values.select("key", "value").mapInArrow(work, "key binary, sketch binary, hashes array<long>")
 
 
 def planned_join(
@@ -202,7 +201,7 @@ def planned_join(
         rows = (values_a.count(), values_b.count())
         plan = plan_buckets(threshold, dim, recall, sampled_distances([values_a, values_b]), rows)
     tell_workers(a.sparkSession)
-    lying = _in_buckets(values_a, "a", plan, dim, seed, [(0,) * plan.per_table])
-    looking = _in_buckets(values_b, "b", plan, dim, seed, plan.probes())
-    candidates = skew_join(lying, looking, ["hash"], ["key_a"])
+    lying = _in_buckets(values_a, plan, dim, seed, [(0,) * plan.per_table])
+    looking = _in_buckets(values_b, plan, dim, seed, plan.probes())
+    candidates = sketched_pairs(lying, looking, threshold)
     return put_ids_back(verified(candidates, values_a, values_b, euclidean, threshold), keyed_a, keyed_b)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmatch.operators import bucketpairs as bp
 from shelfmatch.operators import buckets as bu
 from shelfmatch.operators import radius as ra
 from workload import tables as wt
@@ -67,3 +68,32 @@ def test_odd_vectors(spark):
     assert got == {(5, 5), (5, 6), (6, 5), (6, 6), (7, 7)}
     none = df.where(F.lit(False))
     assert bu.planned_join(none, df, "id", "v", 2, 0.5).count() == bu.planned_join(none, none, "id", "v", 2, 0.5).count() == 0
+
+
+def test_sketches_rule_out_no_near_pair():
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, 16)) * 10.0 ** rng.integers(-3, 4, (300, 1))
+    y = x + rng.standard_normal(x.shape) * 0.1
+    x[:2], y[:2] = [[0.0] * 16, [1e200] * 16], [[1e-310] * 16, [1e200] * 16]
+    column = lambda v: bp.pa.chunked_array([bp.sketches(v)])
+    (m, off_m), (n, off_n) = bp._read_sketches(column(x)), bp._read_sketches(column(y))
+    with np.errstate(over="ignore", invalid="ignore"):
+        size = (m * m).sum(1)[:, None] + (n * n).sum(1)
+        exact = np.sqrt(((x[:, None] - y) ** 2).sum(2))
+        near = bp._may_be_near(size - 2 * m @ n.T, size, off_m[:, None] + off_n, 0.5)
+    assert near[exact < 0.5].all() and (exact < 0.5).sum() >= 250
+    assert near.sum() < 2.5 * (exact < 0.5).sum()
+
+
+def test_candidates_are_no_rows(spark):
+    """Vectors of one bucket that are far apart leave no pair, in cells of any size."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((200, 8)) * 3
+    hashes = [[7] if i < 150 else [8 + i // 2] for i in range(200)]
+    packed = [bytes(s) for s in bp.sketches(x).to_pylist()]
+    rows = [(i.to_bytes(2, "big"), s, h) for i, (s, h) in enumerate(zip(packed, hashes))]
+    df = spark.createDataFrame(rows, "key binary, sketch binary, hashes array<long>")
+    got = sorted((int.from_bytes(r.key_a, "big"), int.from_bytes(r.key_b, "big")) for r in bp.sketched_pairs(df, df, 0.5).collect())
+    far = np.sqrt(((x[:, None] - x) ** 2).sum(2))
+    below = [(i, j) for i in range(200) for j in range(200) if hashes[i] == hashes[j] and far[i, j] < 0.5]
+    assert set(below) <= set(got) and len(got) == len(set(got)) <= len(below) + 20
