@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmatch.operators import features as fe
 from shelfmatch.operators import wordvectors as wv
+from shelfmatch.sources import tables as so
 
 
 @pytest.fixture(scope="module")
@@ -172,3 +173,25 @@ def test_a_block_asks_for_the_words_of_its_columns_alone(spark, monkeypatch):
     assert sum(len(r.x) for r in rows) == 8 * len(pairs)
     asked = {(group[r.word], r.context) for r in pairs}
     assert sum(len(r.ask) for r in rows) == 4 * len(asked) < 4 * len(set(group.values())) * len(group)
+
+
+def test_random_factors_are_drawn_where_they_are_used(docs, monkeypatch):
+    plans, plain = [], wv._product
+    seen = lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+    monkeypatch.setattr(wv, "_product", lambda df, *a, **b: seen(df) or plain(df, *a, **b))
+    assert wv.word_vectors(docs, "w", 4).count() > 0
+    assert [p.count("Join") for p in plans] == [0, 0, 1, 0]  # factors with their image, and not with random ones
+
+
+def test_few_columns_at_a_time_and_nothing_kept_that_is_not_read(docs, monkeypatch, tmp_path):
+    whole = np.array([r.vector for r in sorted(wv.word_vectors(docs, "w", 5).collect())])
+    steps, plain = [], wv._multiplied_columns
+    monkeypatch.setattr(wv, "_multiplied_columns", lambda *a: steps.append(a[-2:]) or plain(*a))
+    monkeypatch.setattr(wv, "MOVED_BYTES", 0)
+    monkeypatch.setattr(so, "shared_folder", lambda spark: str(tmp_path))
+    parts = wv.word_vectors(docs, "w", 5)
+    assert len(set(steps)) > 1 and sum(b - a for a, b in set(steps)) == 15
+    assert len(list(tmp_path.iterdir())) == 2  # the vocabulary and the factors
+    assert np.array([r.vector for r in sorted(parts.collect())]) == pytest.approx(whole, abs=1e-9)
+    with pytest.raises(ValueError):
+        so.drop_kept(docs.sparkSession.read.parquet("/root/testdata/sf0.001/labels.parquet"))
