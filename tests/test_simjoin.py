@@ -1,13 +1,16 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import MinHashLSH
 from pyspark.sql import functions as F
 
-from shelfmatch.functions.hashing import minhash_signature
+from shelfmatch.functions.hashing import minhash_signature, term_id
+from shelfmatch.operators import closesets as cs
 from shelfmatch.operators import relational as re_
 from shelfmatch.operators import simjoin as sj
+from shelfmatch.sources import tables as so
 
 
 def token_sides(spark, n=60):
@@ -219,3 +222,24 @@ def test_bucket_join_makes_no_row_of_a_candidate(spark, monkeypatch):
     join = sj.euclidean_join(df, df, "id", "v", 6, 0.5, 50.0, tables=3, per_table=2)
     assert found(join) == pytest.approx(brute(a[:120], a[:120], 0.5, "euclidean"))
     assert "FlatMapCoGroupsInArrow" in join._jdf.queryExecution().toString()
+
+
+def test_bands_are_those_of_the_signature(spark):
+    rows = [(i, [f"w{j * j % (i + 3)}" for j in range(i)] + [None] * (i % 3)) for i in range(40)] + [(41, ["ä", ""])]
+    df = spark.createDataFrame(rows, "id int, w array<string>")
+    for how in ("md5", "xxhash64"):
+        ids = "w" if how == "md5" else F.transform("w", lambda x: term_id(x, how)).alias("w")
+        terms = df.select("id", ids, minhash_signature("w", 6, 7, how).alias("s")).orderBy("id").toArrow()
+        got = cs.Bands(6, 3, 7, how).of(terms["w"].combine_chunks()).to_pylist()
+        for made, want in zip(got, terms["s"].to_pylist()):
+            if want is not None and None not in want:
+                assert [np.frombuffer(x, "<u4").tolist() for x in made] == [want[:2], want[2:4], want[4:]]
+
+
+def test_what_a_join_keeps_is_read_by_its_result(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(so, "shared_folder", lambda session: str(tmp_path))
+    rows = [(i, [f"w{j}" for j in range(i % 5, 20)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id int, w array<string>")
+    for made in (sj.jaccard_join_exact(df, df, "id", "w", 0.3), sj.jaccard_join(df, df, "id", "w", 0.3, 10, 5)):
+        assert made.count() > 30
+    assert len(list(tmp_path.iterdir())) == 8  # sets, their first rows, copies and pairs; no prefixes, candidates or bits
