@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,15 @@ BLOCK_ROWS = 1 << 15  # of a side of a block at most
 SMALL_BLOCK = 4096  # rows that are not cut for more tasks
 GRID = 8  # blocks that a smaller side is cut into
 STRIPE_ROWS = 256  # rows of a block compared with the others at a time
+STRIPE_COLUMNS = 2048  # and with so many at a time, which stay in the processor's cache
 STAGES = 4  # parts of a squared distance
 SHARE = 0.25  # of what a stripe's pairs take; when those left take less, only they are summed on
 EXACT_PAIRS = 1 << 16  # whose distances are taken together
 SHIPPED = 200  # pairs that are compared in the time that a row takes to move
 PLANNED = (1, 4, 16, 64, 256)  # numbers of pivots that a plan chooses from
 _SLACK = 1e-9
+SHORT_SLACK = 1e-6  # of sums of 32-bit numbers, for each dimension; some times what they are rounded by
+SHORT_SCALE = 1e30
 
 
 @dataclass
@@ -83,34 +87,43 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def near_pairs(a: np.ndarray, b: np.ndarray, radius: float, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """Rows of a and b below the radius, their distances, and how many pairs were summed to the end."""
-    turned_a, turned_b = a @ axes, b @ axes
+    centre = b[0] if len(b) else 0.0  # a place near all of them, as numbers are short in what follows
+    turned_a, turned_b = (a - centre) @ axes, (b - centre) @ axes
     scale = max((turned_a**2).sum(1).max(initial=0), (turned_b**2).sum(1).max(initial=0))
     limit = radius**2 + _SLACK * (1 + radius**2 + scale)
+    if scale < SHORT_SCALE:  # else their squares might not be numbers
+        turned_a, turned_b = turned_a.astype(np.float32), turned_b.astype(np.float32)
+        limit = np.float32(radius**2 + SHORT_SLACK * (a.shape[1] + 8) * (radius**2 + scale) + _SLACK)
     cuts = np.linspace(0, a.shape[1], STAGES + 1).astype(int)
     parts = [slice(x, y) for x, y in zip(cuts, cuts[1:]) if y > x]
+    norms_a, norms_b = ([(side[:, part] ** 2).sum(1) for part in parts] for side in (turned_a, turned_b))
     found, candidates = [], 0
-    for at in range(0, len(a), STRIPE_ROWS):
-        left = turned_a[at : at + STRIPE_ROWS]
-        squares = np.zeros((len(left), len(b)))
-        kept, i, j, sums = np.ones(squares.shape, bool), None, None, None
+    for at, begin in product(range(0, len(a), STRIPE_ROWS), range(0, len(b), STRIPE_COLUMNS)):
+        rows, columns = slice(at, at + STRIPE_ROWS), slice(begin, begin + STRIPE_COLUMNS)
+        left, right = turned_a[rows], turned_b[columns]
+        squares, kept, i, j, sums = None, None, None, None, None
         for k, part in enumerate(parts):
-            x, y = left[:, part], turned_b[:, part]
+            x, y = left[:, part], right[:, part]
             if k == len(parts) - 1:
-                candidates += np.count_nonzero(kept) if i is None else len(i)
+                candidates += len(left) * len(right) if kept is None else np.count_nonzero(kept) if i is None else len(i)
             if i is not None:
                 sums = sums + ((x[i] - y[j]) ** 2).sum(1)
                 near = sums < limit
                 i, j, sums = i[near], j[near], sums[near]
                 continue
-            squares += (x**2).sum(1)[:, None] + (y**2).sum(1) - 2 * x @ y.T
+            here = x @ y.T
+            here *= -2
+            here += norms_a[k][rows, None]
+            here += norms_b[k][columns]
+            squares = here if squares is None else np.add(squares, here, out=squares)
             kept = squares < limit
             if np.count_nonzero(kept) <= SHARE * kept.size / STAGES:
                 i, j = np.nonzero(kept)
                 sums = squares[i, j]
         if i is None:
-            i, j = np.nonzero(kept)
+            i, j = np.nonzero(kept) if kept is not None else np.indices((len(left), len(right))).reshape(2, -1)
         for cut in range(0, len(i), EXACT_PAIRS):
-            row, other = i[cut : cut + EXACT_PAIRS] + at, j[cut : cut + EXACT_PAIRS]
+            row, other = i[cut : cut + EXACT_PAIRS] + at, j[cut : cut + EXACT_PAIRS] + begin
             exact = np.sqrt(((a[row] - b[other]) ** 2).sum(1))
             near = exact < radius
             found.append((row[near], other[near], exact[near]))

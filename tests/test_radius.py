@@ -110,3 +110,15 @@ def test_rows_are_repeated_for_few_blocks(spark):
     left, right = ra._blocks(side, side, ra.block_rows(rows))
     assert left.count() <= ra.GRID * rows and right.count() <= ra.GRID * rows  # 15 times in blocks of 4,096 rows
     assert ra.block_rows(100) == ra.SMALL_BLOCK and ra.block_rows(10**9) == ra.BLOCK_ROWS
+
+
+@pytest.mark.parametrize("away, wide", [(0.0, 1.0), (1e6, 1.0), (0.0, 1e-20), (0.0, 1e17)])
+def test_short_numbers_drop_no_pair(monkeypatch, away, wide):
+    monkeypatch.setattr(ra, "STRIPE_COLUMNS", 7)
+    r = np.random.default_rng(4)
+    a, b = (away + wide * r.normal(size=(n, 12)) for n in (300, 40))
+    far = np.sqrt(((a[:, None] - b) ** 2).sum(2))
+    radius = float(np.sort(far.ravel())[500])  # a pair lies just at the radius
+    i, j, d, _ = ra.near_pairs(a, b, radius, np.linalg.qr(r.normal(size=(12, 12)))[0])
+    assert sorted(zip(i.tolist(), j.tolist())) == [tuple(x) for x in np.argwhere(far < radius).tolist()]
+    assert (d == np.sqrt(((a[i] - b[j]) ** 2).sum(1))).all()
